@@ -179,6 +179,10 @@ def _embedding_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _embedding_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return durable(similarity.movie_recs(_embedding_edges(spark, sf_dir)), "recs")
+
+
 def item_similarity_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _embedding_edges(spark, sf_dir).withColumn("r", F.round("r", 6))
 
@@ -215,15 +219,14 @@ def recent_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def candidate_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = fixtures.event_ratings(spark, sf_dir)
     last = durable(scoring.last_event_per_user(events))
-    return scoring.candidate_items(last, durable(_embedding_edges(spark, sf_dir)), events)
+    return scoring.candidate_items(last, _embedding_recs(spark, sf_dir), events)
 
 
 def stream_scores_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = fixtures.event_ratings(spark, sf_dir)
     scores = scoring.score_events(
         durable(scoring.last_event_per_user(events)),
-        durable(_embedding_edges(spark, sf_dir)),
-        scoring.recent_ratings(events),
+        _embedding_recs(spark, sf_dir),
         events,
         threshold=EMBEDDING_THRESHOLD,
     )
@@ -236,17 +239,16 @@ def stream_scores_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges = similarity.item_similarity(durable(fixtures.month_factors(spark, sf_dir)))
     scores = scoring.score_events(
         durable(scoring.last_event_per_user(ratings)),
-        durable(edges),
-        scoring.recent_ratings(ratings),
+        durable(similarity.movie_recs(edges)),
         ratings,
     )
     return scores.withColumn("r", F.round("r", 6))
 
 
 def _rescoring(spark: SparkSession, sf_dir: str) -> Rescoring:
-    edges = durable(_embedding_edges(spark, sf_dir))
+    recs = _embedding_recs(spark, sf_dir)
     return Rescoring(
-        edges=lambda session: edges,
+        recs=lambda session: recs,
         ratings=lambda session: fixtures.event_ratings(session, sf_dir),
         sink=store.TableStore(work_dir(spark, "recs")),
         threshold=EMBEDDING_THRESHOLD,
