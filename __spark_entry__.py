@@ -147,7 +147,8 @@ def als_user_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def als_item_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, _ = _model(spark, sf_dir)
-    return similarity.movie_recs(similarity.item_similarity(factors.item_factors(model)))
+    edges = similarity.item_similarity(factors.item_factors(model))
+    return similarity.movie_recs(durable(edges, "edges"))
 
 
 def als_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,7 +181,8 @@ def _embedding_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _embedding_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return durable(similarity.movie_recs(_embedding_edges(spark, sf_dir)), "recs")
+    edges = durable(_embedding_edges(spark, sf_dir), "edges")
+    return durable(similarity.movie_recs(edges), "recs")
 
 
 def item_similarity_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -190,9 +192,8 @@ def item_similarity_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def similarity_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows to stored lists and back."""
     target = store.TableStore(work_dir(spark, "similar"))
-    target.overwrite(
-        similarity.movie_recs(_embedding_edges(spark, sf_dir)), schemas.MOVIE_RECS_TABLE
-    )
+    rows = durable(_embedding_edges(spark, sf_dir), "edges")
+    target.overwrite(similarity.movie_recs(rows), schemas.MOVIE_RECS_TABLE)
     edges = similarity.similarity_edges(store.movie_recs(spark, target))
     return edges.withColumn("r", F.round("r", 6))
 
@@ -236,7 +237,9 @@ def stream_scores_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_scores_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The scoring with its default settings, over all ratings."""
     ratings = durable(fixtures.ratings(spark, sf_dir))
-    edges = similarity.item_similarity(durable(fixtures.month_factors(spark, sf_dir)))
+    edges = durable(
+        similarity.item_similarity(durable(fixtures.month_factors(spark, sf_dir))), "edges"
+    )
     scores = scoring.score_events(
         durable(scoring.last_event_per_user(ratings)),
         durable(similarity.movie_recs(edges)),

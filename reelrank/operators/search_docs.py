@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from reelrank.plans.lists import bounded_lists
 from reelrank.sources import schemas
+from reelrank.sources.durable import durable
 
 # Distinct tags in one document before it is continued in a further part.
 TAGS_PER_PART = 100_000
@@ -16,10 +17,10 @@ def movie_tags(tags: DataFrame, tags_per_part: int = TAGS_PER_PART) -> DataFrame
     """``(mid, part, tags)``: the distinct tags of each movie, sorted, joined by ``|``.
 
     Copies of a tag go away before anything is grouped by movie, in a shuffle on
-    ``(mid, tag)`` that no popular movie can make uneven.
+    ``(mid, tag)`` that no popular movie can make uneven; the pairs are then stored.
     """
     distinct = tags.select("mid", "tag").filter(F.col("tag").isNotNull()).distinct()
-    lists = bounded_lists(distinct, "mid", F.col("tag"), ["tag"], tags_per_part)
+    lists = bounded_lists(durable(distinct, "tags"), "mid", F.col("tag"), ["tag"], tags_per_part)
     return lists.select("mid", "part", F.concat_ws("|", "items").alias("tags"))
 
 
