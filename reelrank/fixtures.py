@@ -109,10 +109,21 @@ def month_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Item vectors made of the number of ratings in each month."""
     shipped = F.col("l_shipdate")
     month = (F.year(shipped) - FIRST_YEAR) * 12 + F.month(shipped) - 1
-    counts = [F.sum((F.col("m") == number).cast("double")) for number in range(MONTHS)]
-    return (
+    counts = (
         table(spark, sf_dir, "lineitem")
         .select(F.col("l_partkey").cast("int").alias("mid"), month.alias("m"))
-        .groupBy("mid")
-        .agg(F.array(*counts).alias("features"))
+        .groupBy("mid", "m")
+        .agg(F.count(F.lit(1)).cast("double").alias("n"))
+    )
+    by_month = F.map_from_entries(F.collect_list(F.struct("m", "n"))).alias("by_month")
+    months = F.sequence(F.lit(0), F.lit(MONTHS - 1))
+    return (
+        counts.groupBy("mid")
+        .agg(by_month)
+        .select(
+            "mid",
+            F.transform(
+                months, lambda m: F.coalesce(F.try_element_at("by_month", m), F.lit(0.0))
+            ).alias("features"),
+        )
     )
