@@ -252,7 +252,7 @@ def _rescoring(spark: SparkSession, sf_dir: str) -> Rescoring:
     recs = _embedding_recs(spark, sf_dir)
     return Rescoring(
         recs=lambda session: recs,
-        ratings=lambda session: fixtures.event_ratings(session, sf_dir),
+        ratings=lambda last: fixtures.event_ratings(last.sparkSession, sf_dir),
         sink=store.TableStore(work_dir(spark, "recs")),
         threshold=EMBEDDING_THRESHOLD,
     )

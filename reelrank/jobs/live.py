@@ -21,6 +21,9 @@ def main() -> None:
     parser.add_argument("--interval", default="2 seconds", help="time between batches")
     parser.add_argument("--once", action="store_true", help="handle what is there, then stop")
     parser.add_argument("--refresh", type=float, default=600, help="seconds to keep MovieRecs")
+    parser.add_argument(
+        "--user-buckets", type=int, default=0, help="as given when the ratings were loaded"
+    )
     parser.add_argument("--max-recent", type=int, default=scoring.MAX_RECENT)
     args = parser.parse_args()
 
@@ -28,7 +31,11 @@ def main() -> None:
     store = common.table_store(args)
     job = Rescoring(
         recs=refreshed(lambda session: stores.movie_recs(session, store), args.refresh),
-        ratings=lambda session: stores.ratings(session, store),
+        ratings=lambda last: (
+            stores.ratings_near(last, store, args.user_buckets)
+            if args.user_buckets
+            else stores.ratings(last.sparkSession, store)
+        ),
         sink=stores.TableStore(args.recs),
         max_recent=args.max_recent,
     )

@@ -18,6 +18,7 @@ def run(
     store: stores.TableStore,
     search: stores.TableStore | None = None,
     search_id_option: str | None = None,
+    user_buckets: int = 0,
 ) -> None:
     """Parse and store the tables, then build the documents from what was stored."""
     stores.store_tables(
@@ -25,6 +26,7 @@ def run(
         ingest.parse_movies(stores.read_lines(spark, movies_path)),
         ingest.parse_ratings(stores.read_lines(spark, ratings_path)),
         ingest.parse_tags(stores.read_lines(spark, tags_path)),
+        user_buckets,
     )
     documents = search_docs.search_documents(
         stores.movies(spark, store), stores.tags(spark, store)
@@ -36,6 +38,9 @@ def main() -> None:
     parser = common.parser(__doc__)
     for name in ("movies", "ratings", "tags"):
         parser.add_argument(f"--{name}", required=True, help=f"text files of {name}")
+    parser.add_argument(
+        "--user-buckets", type=int, default=0, help="partition the ratings by user"
+    )
     parser.add_argument("--search-location", help="where the search documents go")
     parser.add_argument("--search-format", default="json")
     parser.add_argument("--search-option", action="append", default=[], metavar="KEY=VALUE")
@@ -59,6 +64,7 @@ def main() -> None:
         common.table_store(args),
         search,
         args.search_id_option,
+        args.user_buckets,
     )
     spark.stop()
 
