@@ -6,6 +6,8 @@ training starts from random factors, so the queries that train one have no SQL.
 
 from __future__ import annotations
 
+import importlib
+import importlib.util
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -328,8 +330,18 @@ def entry(spark: SparkSession) -> DataFrame:
     return stream_scores_batch(spark, "/root/testdata/sf0.001")
 
 
+def _training_data():
+    """The module of the training-data queries; None where that subpackage is absent."""
+    spec = importlib.util.find_spec("reelrank.llm")
+    if spec is None or spec.origin is None:  # no folder, or one without modules
+        return None
+    return importlib.import_module("reelrank.llm.queries")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in _QUERIES}
+    own = {query.__name__: query for query in _QUERIES}
+    more = _training_data()
+    return own if more is None else own | more.queries()
 
 
 # --- SQL -----------------------------------------------------------------------------------
@@ -464,6 +476,11 @@ _GENRE_VALUES = ", ".join(f"('{name}')" for name in stats.GENRES)
 
 
 def oracle_sql() -> dict[str, str]:
+    more = _training_data()
+    return _own_sql() if more is None else _own_sql() | more.oracle_sql()
+
+
+def _own_sql() -> dict[str, str]:
     return {
         "ingest_movies": f"with {_MOVIES} select * from movies",
         "ingest_ratings": f"with {_RATINGS} select * from ratings",
