@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelrank.llm import lines, mixing, quality
+from reelrank.llm import jaccard, lines, mixing, quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken"
@@ -50,7 +54,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_QUERIES = (op1_quality_rules, op6_mixing, op8_line_dedup)
+_QUERIES = (op1_quality_rules, op5_jaccard_join, op6_mixing, op8_line_dedup)
 
 
 def queries() -> dict:
@@ -73,6 +77,34 @@ solid as (
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op5_jaccard_join": r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') as w
+  from documents where doc_id is not null
+),
+shingles as (
+  select distinct doc_id, case when len(w) < 5 then w else w[i : i + 4] end as s
+  from (select doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) as i from words
+        where len(w) > 0)
+),
+sizes as (select doc_id, count(*) as n from shingles group by 1),
+links as (
+  select a.doc_id as a, b.doc_id as b
+  from shingles a join shingles b on a.s = b.s and a.doc_id <> b.doc_id
+  join sizes x on x.doc_id = a.doc_id join sizes y on y.doc_id = b.doc_id
+  group by a.doc_id, b.doc_id, x.n, y.n
+  having 100 * count(*) >= 80 * (x.n + y.n - count(*))
+),
+reach as (
+  select doc_id, doc_id as other from documents where doc_id is not null
+  union
+  select r.doc_id, l.b from reach r join links l on r.other = l.a
+)
+select d.doc_id, coalesce(any_value(s.n), 0) as n_shingles, min(r.other) as component_id
+from documents d join reach r on r.doc_id = d.doc_id left join sizes s on s.doc_id = d.doc_id
+group by d.doc_id""",
         "op8_line_dedup": rf"""
 with {_LINES},
 wide as (

@@ -62,6 +62,10 @@ def _inverse(x: np.uint64) -> np.uint64:
     return np.uint64(pow(int(x), -1, 1 << 64))
 
 
+def _times(x: np.uint64, y: np.uint64) -> np.uint64:
+    return np.uint64((int(x) * int(y)) & 0xFFFFFFFFFFFFFFFF)
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """``_STEP ** i`` and its inverse for i up to ``n``."""
     if len(_POWERS.get("up", ())) <= n:
@@ -153,5 +157,5 @@ def window_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
     factor = _BASE
     for j in range(size):
         total += hashes[j : j + n] * factor
-        factor = np.uint64((int(factor) * int(_STEP)) & 0xFFFFFFFFFFFFFFFF)
-    return mix(total + np.uint64(size) * _LENGTH)
+        factor = _times(factor, _STEP)
+    return mix(total + _times(np.uint64(size), _LENGTH))
