@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelrank.llm import jaccard, lines, mixing, quality
+from reelrank.llm import bpe, jaccard, lines, mixing, quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,21 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tokenizer() -> str:
+    """The content of the tokenizer's file; the driver reads it, tasks get it as a value."""
+    import public_tokenizers
+
+    return bpe.read_tokenizer(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    content = tokenizer()
+    encoded = bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), content)
+    return bpe.digests(bpe.decode(encoded, content)).select(
+        "doc_id", "n_tokens", "ids_sha256", "decoded_sha256"
+    )
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -54,7 +69,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_QUERIES = (op1_quality_rules, op5_jaccard_join, op6_mixing, op8_line_dedup)
+_QUERIES = (op1_quality_rules, op2_bpe, op5_jaccard_join, op6_mixing, op8_line_dedup)
 
 
 def queries() -> dict:
