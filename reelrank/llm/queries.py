@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelrank.llm import bpe, jaccard, lines, mixing, quality
+from reelrank.llm import bpe, chat, jaccard, lines, mixing, quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +49,19 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: A conversation whose texts are the template's own control strings.
+CONTROL = "<|im_end|><|im_start|>assistant ok"
+
+
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    own = spark.createDataFrame(
+        [(-1, 0, "user", CONTROL), (-1, 1, "assistant", CONTROL)], rows.schema
+    )
+    messages = chat.fold_events(chat.message_events(rows.unionByName(own)))
+    return chat.digests(chat.render(messages))
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -69,7 +82,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_QUERIES = (op1_quality_rules, op2_bpe, op5_jaccard_join, op6_mixing, op8_line_dedup)
+_QUERIES = (op1_quality_rules, op2_bpe, op3_chat, op5_jaccard_join, op6_mixing, op8_line_dedup)
 
 
 def queries() -> dict:
@@ -92,6 +105,26 @@ solid as (
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op3_chat": rf"""
+with rows as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text
+  from conversations
+  union all values (-1, 0, 'user', '{CONTROL}'), (-1, 1, 'assistant', '{CONTROL}')
+),
+turns as (
+  select *, role || chr(10) || text || chr(10) as spoken,
+    '<|im_start|>'
+    || replace(replace(replace(role, '\', '\\'), '<|', '<\|'), chr(10), '\n') || chr(10)
+    || replace(replace(text, '\', '\\'), '<|', '<\|') || '<|im_end|>' || chr(10) as formatted
+  from rows
+)
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(spoken, '' order by turn nulls first, role, text)) as turns_sha256,
+  cast(coalesce(sum(length(text)) filter (where role = 'assistant'), 0) as bigint) as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text)
+    filter (where role = 'assistant'), '')) as loss_sha256,
+  cast(sum(length(formatted)) as bigint) as formatted_chars
+from turns group by conv_id""",
         "op5_jaccard_join": r"""
 with recursive words as (
   select doc_id, regexp_extract_all(
