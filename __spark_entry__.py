@@ -341,7 +341,10 @@ def _training_data():
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = {query.__name__: query for query in _QUERIES}
     more = _training_data()
-    return own if more is None else own | more.queries()
+    if more is None:
+        return own
+    pipeline = importlib.import_module("corpus_pipeline").run
+    return own | more.queries() | {"pipeline": pipeline}
 
 
 # --- SQL -----------------------------------------------------------------------------------
