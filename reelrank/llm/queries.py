@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelrank.llm import bpe, chat, jaccard, lines, mixing, quality
+from reelrank.llm import bpe, chat, jaccard, lines, mixing, quality, substring
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,7 +82,11 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_QUERIES = (op1_quality_rules, op2_bpe, op3_chat, op5_jaccard_join, op6_mixing, op8_line_dedup)
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.substring_dedup(_table(spark, sf_dir, "documents"))
+
+
+_QUERIES = (op1_quality_rules, op2_bpe, op3_chat, op5_jaccard_join, op6_mixing, op8_line_dedup, op10_substring_dedup)
 
 
 def queries() -> dict:
@@ -168,4 +172,33 @@ select doc_id, count(*) filter (where solid) as n_lines,
        sha256(coalesce(string_agg(line, chr(10) order by pos) filter (where not gone), ''))
          as text_sha256
 from marked group by doc_id""",
+        "op10_substring_dedup": r"""
+with words as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents
+),
+windows as (
+  select doc_id, i, w[i : i + 12] as g
+  from (select doc_id, w, unnest(range(1, len(w) - 11)) as i from words)
+),
+repeats as (
+  select doc_id, i from (
+    select doc_id, i, min(doc_id) over (partition by g) as first_doc from windows
+  ) where first_doc < doc_id
+),
+gone as (
+  select distinct doc_id, i + k as pos
+  from repeats cross join (select unnest(range(0, 13)) as k)
+),
+placed as (
+  select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as pos from words
+),
+kept as (
+  select p.doc_id, count(g.pos) as n_removed,
+         string_agg(p.word, ' ' order by p.pos) filter (where g.pos is null) as text
+  from placed p left join gone g on p.doc_id = g.doc_id and p.pos = g.pos
+  group by p.doc_id
+)
+select d.doc_id, len(d.w) as n_words, coalesce(k.n_removed, 0) as n_removed,
+       sha256(coalesce(k.text, '')) as kept_sha256
+from words d left join kept k on d.doc_id = k.doc_id""",
     }
