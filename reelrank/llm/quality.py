@@ -1,7 +1,6 @@
 """Quality rules: base rules, then a log-likelihood ratio of hashed word n-grams.
 
-Two multinomials over ``buckets`` hashed n-grams (single words and word pairs, A-Z lowered)
-are estimated: one from trusted documents, one from the whole corpus. A document's score is
+Two multinomials over ``buckets`` hashed n-grams (single words and pairs of neighbours) are estimated: one from trusted documents, one from the whole corpus. A document's score is
 the sum of log(target / raw) over its n-grams divided by their number; every document is
 kept or not by comparing the score with a fixed threshold, so reruns agree. DataFrame
 functions only: texts never leave the JVM.
@@ -12,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelrank.llm.words import SPACES, split_words
+from reelrank.llm.words import split_words
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 20
@@ -21,6 +20,8 @@ MAX_REPEAT_PERCENT = 30
 BUCKETS = 10_000
 #: Counts added to every bucket of either multinomial.
 SMOOTHING = 1.0
+#: Trusted documents that count for the target, at most.
+TRUSTED_ROWS = 50_000
 #: Least mean log-ratio per n-gram. The corpus holds the trusted text too, so ordinary text
 #: scores near 0; text whose n-grams are twice as common in the corpus as in trusted
 #: documents scores -0.69. Labelled good text stays over -0.1, labelled junk lies mostly below -0.16.
@@ -52,42 +53,59 @@ def _covered(ordered: Column) -> Column:
     )
 
 
-def _repeated_words(words: Column) -> Column:
+def _joined(hashes: Column, distance: int) -> Column:
+    """Hash of each item with the one ``distance`` places on; shorter by ``distance``."""
+    count = F.greatest(F.size(hashes) - distance, F.lit(0))
+    pairs = F.zip_with(
+        F.slice(hashes, 1, count),
+        F.slice(hashes, distance + 1, count),
+        lambda a, b: F.xxhash64(a, b),
+    )
+    return pairs
+
+
+def _repeated_words(pairs: Column) -> Column:
     """Words inside windows of 8 words that occur twice or more in the text.
 
-    Windows are compared by 64-bit hash. Only texts with a repeat sort their windows.
+    ``pairs`` has the hashes of neighbouring words. Windows are compared by 64-bit hash.
+    Only texts with a repeat sort their windows.
     """
     none = F.lit(0).cast("long")
-    windows = F.transform(
-        F.sequence(F.lit(1), F.size(words) - (REPEAT_WINDOW - 1)),
-        lambda i: F.xxhash64(F.slice(words, i, REPEAT_WINDOW)),
-    )
+    windows = _let(_let(pairs, lambda two: _joined(two, 2)), lambda four: _joined(four, 4))
 
     def counted(hashes: Column) -> Column:
-        pairs = F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
+        placed = F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
         repeats = F.size(F.array_distinct(hashes)) < F.size(hashes)
-        return F.when(repeats, _let(F.sort_array(pairs), _covered)).otherwise(none)
+        return F.when(repeats, _let(F.sort_array(placed), _covered)).otherwise(none)
+
+    return F.when(
+        F.size(pairs) >= REPEAT_WINDOW, _let(windows, counted)
+    ).otherwise(none)
+
 
-    return F.when(F.size(words) > REPEAT_WINDOW, _let(windows, counted)).otherwise(none)
+def hashed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``words`` and the hashes ``_one`` of words, ``_two`` of word pairs."""
+    return (
+        docs.withColumn("words", split_words(F.col("text")))
+        .withColumn("_one", F.transform("words", lambda word: F.xxhash64(word)))
+        .withColumn("_two", _joined(F.col("_one"), 1))
+    )
 
 
 def base_rules(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``words`` and the base measures; a null text counts as empty."""
+    """What :func:`hashed` gives, with the base measures; a null text counts as empty."""
     text = F.coalesce("text", F.lit(""))
-    length = F.length(text)
     lines = F.filter(
-        F.split(text, "\n", -1), lambda line: F.length(F.translate(line, SPACES, "")) > 0
+        F.split(text, "\n", -1), lambda line: F.rlike(line, F.lit("[^\\x20\\x09-\\x0D]"))
     )
+    symbols = F.regexp_replace(text, f"[^{SYMBOLS}]+", "")
+    repeated = _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x)))
     return (
-        docs.withColumn("words", split_words(F.col("text")))
-        .withColumn("n_words", F.size("words").cast("long"))
-        .withColumn("word_chars", F.length(F.translate(text, SPACES, "")).cast("long"))
-        .withColumn("n_symbols", (length - F.length(F.translate(text, SYMBOLS, ""))).cast("long"))
-        .withColumn(
-            "n_dup_lines",
-            _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
-        )
-        .withColumn("n_repeat_words", _repeated_words(F.col("words")))
+        docs.withColumn("n_words", F.size("words").cast("long"))
+        .withColumn("word_chars", F.length(F.array_join("words", "")).cast("long"))
+        .withColumn("n_symbols", F.length(symbols).cast("long"))
+        .withColumn("n_dup_lines", repeated.cast("long"))
+        .withColumn("n_repeat_words", _repeated_words(F.col("_two")))
         .withColumn(
             "base_failed",
             (F.col("n_words") < MIN_WORDS)
@@ -96,37 +114,30 @@ def base_rules(docs: DataFrame) -> DataFrame:
     )
 
 
-def ngram_buckets(text: Column, buckets: int = BUCKETS) -> Column:
-    """Bucket of every word and every pair of neighbouring words, A-Z lowered."""
-    lowered = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    hashes = F.transform(split_words(lowered), lambda word: F.xxhash64(word))
-
-    def grams(h: Column) -> Column:
-        # zip_with pads the shorter side with null: the last word has no pair.
-        shifted = F.slice(h, 2, F.greatest(F.size(h) - 1, F.lit(0)))
-        pairs = F.slice(
-            F.zip_with(h, shifted, lambda a, b: F.pmod(F.xxhash64(a, b), F.lit(buckets))),
-            1,
-            F.greatest(F.size(h) - 1, F.lit(0)),
-        )
-        return F.concat(F.transform(h, lambda a: F.pmod(a, F.lit(buckets))), pairs)
-
-    return _let(hashes, grams)
+def _ngrams() -> Column:
+    """Hashes of all words and word pairs."""
+    return F.concat("_one", "_two")
 
 
-def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+def log_ratios(
+    docs: DataFrame,
+    trusted: DataFrame,
+    buckets: int = BUCKETS,
+    trusted_rows: int = TRUSTED_ROWS,
+) -> DataFrame:
     """One row, ``ratios array<double>``: log(target / raw) of each bucket.
 
-    Counts cover all words of all documents, added up in each task before ``buckets`` rows at
-    most leave it. ``trusted`` (``doc_id``) names the trusted documents.
+    ``docs`` comes from :func:`hashed`. The raw counts cover all words of all documents,
+    added up in each task before ``buckets`` rows at most leave it. ``trusted`` (``doc_id``)
+    names the trusted documents, of which the ``trusted_rows`` first in a hash order count,
+    a bound that lets their ids be broadcast.
     """
-    marks = trusted.select("doc_id").filter("doc_id is not null").distinct()
-    marked = docs.select("doc_id", "text").join(
-        marks.withColumn("_trusted", F.lit(1)), "doc_id", "left"
-    )
+    ids = trusted.select("doc_id").filter("doc_id is not null").distinct()
+    ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(trusted_rows)
+    marked = docs.join(F.broadcast(ids.withColumn("_trusted", F.lit(1))), "doc_id", "left")
     counts = (
-        marked.select("_trusted", F.explode(ngram_buckets(F.col("text"), buckets)).alias("b"))
-        .groupBy("b")
+        marked.select("_trusted", F.explode(_ngrams()).alias("h"))
+        .groupBy(F.pmod("h", F.lit(buckets)).alias("b"))
         .agg(F.count(F.lit(1)).alias("raw"), F.count("_trusted").alias("target"))
     )
     every = docs.sparkSession.range(buckets).select(F.col("id").alias("b"))
@@ -160,22 +171,21 @@ def quality(
     documents the target is uniform. Columns that share a name with a result give way to it.
     """
     results = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    plain = docs.drop("words", *results, "base_failed", "score", "kept")
-    ratios = log_ratios(plain, trusted, buckets).scalar()
-    score = F.aggregate(
-        ngram_buckets(F.col("text"), buckets),
-        F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("n")),
-        lambda acc, b: F.struct(
-            (acc["s"] + F.get(F.col("_ratios"), b.cast("int"))).alias("s"),
-            (acc["n"] + 1).alias("n"),
-        ),
-        lambda acc: F.when(acc["n"] > 0, acc["s"] / acc["n"]).otherwise(F.lit(0.0)),
+    plain = docs.drop("words", "_one", "_two", *results, "base_failed", "score", "kept")
+    grams = hashed(plain)
+    ratios = log_ratios(grams, trusted, buckets).scalar()
+    total = F.aggregate(
+        _ngrams(),
+        F.lit(0.0),
+        lambda acc, h: acc + F.get(F.col("_ratios"), F.pmod(h, F.lit(buckets)).cast("int")),
     )
+    score = total / (F.size("_one") + F.size("_two"))
     return (
-        base_rules(plain)
-        .drop("words")
+        base_rules(grams)
         .withColumn("_ratios", ratios)
-        .withColumn("score", F.round(F.coalesce(score, F.lit(0.0)), 9))
+        .withColumn(
+            "score", F.when(F.col("n_words") > 0, F.round(score, 9)).otherwise(F.lit(0.0))
+        )
         .withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
-        .drop("_ratios")
+        .drop("_ratios", "words", "_one", "_two")
     )
