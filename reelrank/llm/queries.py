@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelrank.llm import bpe, chat, jaccard, lines, mixing, quality, substring
+from reelrank.llm import bpe, chat, jaccard, lines, mixing, neardup, quality, substring
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,6 +72,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = lines.line_dedup(_table(spark, sf_dir, "documents"))
     return cleaned.select(
@@ -86,7 +90,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.substring_dedup(_table(spark, sf_dir, "documents"))
 
 
-_QUERIES = (op1_quality_rules, op2_bpe, op3_chat, op5_jaccard_join, op6_mixing, op8_line_dedup, op10_substring_dedup)
+_QUERIES = (op1_quality_rules, op2_bpe, op3_chat, op5_jaccard_join, op6_mixing, op7_embedding_dedup, op8_line_dedup, op10_substring_dedup)
 
 
 def queries() -> dict:
