@@ -5,7 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelrank.llm import bpe, chat, jaccard, lines, mixing, neardup, quality, substring
+from reelrank.llm import (
+    bpe,
+    chat,
+    jaccard,
+    licenses,
+    lines,
+    mixing,
+    neardup,
+    quality,
+    secret_scan,
+    substring,
+)
+from reelrank.llm.words import word_count
+from reelrank.sources.durable import durable
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,6 +75,20 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.render(messages))
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Findings of all documents; those in documents with labels train the forest."""
+    docs = _table(spark, sf_dir, "documents")
+    marked = _table(spark, sf_dir, "labels").select("doc_id").distinct()
+    labelled = secret_scan.rule_labels(secret_scan.candidates(docs)).join(marked, "doc_id")
+    return secret_scan.scan(docs, durable(labelled, "labelled")).select(
+        "doc_id",
+        "word_no",
+        F.sha2("candidate", 256).alias("candidate_sha256"),
+        "probability",
+        "kept",
+    )
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -86,11 +113,28 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Documents of at most so many words that name a licence stand for licence files.
+LICENCE_FILE_WORDS = 60
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files ``source/language/number``: the table has no paths of its own."""
+    docs = _table(spark, sf_dir, "documents")
+    part = lambda name: F.coalesce(name, F.lit("unknown"))
+    files = docs.select(
+        "doc_id",
+        F.concat_ws("/", part("source"), part("lang"), "doc_id").alias("path"),
+        "text",
+        (word_count(F.col("text")) <= LICENCE_FILE_WORDS).alias("is_licence_file"),
+    )
+    return licenses.scan(files).select("doc_id", "licence", "score", "origin")
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.substring_dedup(_table(spark, sf_dir, "documents"))
 
 
-_QUERIES = (op1_quality_rules, op2_bpe, op3_chat, op5_jaccard_join, op6_mixing, op7_embedding_dedup, op8_line_dedup, op10_substring_dedup)
+_QUERIES = (op1_quality_rules, op2_bpe, op3_chat, op4_secret_scan, op5_jaccard_join, op6_mixing, op7_embedding_dedup, op8_line_dedup, op9_license_scan, op10_substring_dedup)
 
 
 def queries() -> dict:
