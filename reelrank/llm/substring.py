@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelrank.llm.streams import whole_groups
-from reelrank.llm.words import Words, mix, span_hashes, window_hashes, words_of
+from reelrank.llm.words import Words, bounded_batches, mix, span_hashes, window_hashes, words_of
 from reelrank.sources.durable import durable
 
 #: Words of a window: the least length of what counts as repeated.
@@ -174,19 +174,17 @@ class WaveletTree:
             self.levels.append((packed, before.astype(np.int64), zeros))
             current = np.concatenate([current[~ones], current[ones]])
 
-    def rank(self, symbol: np.ndarray, place: np.ndarray) -> np.ndarray:
-        """How often ``symbol`` occurs before ``place``, for arrays of both."""
-        start = np.zeros_like(place)
+    def descend(self, symbol: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Where ``place`` comes to on the lowest level along the bits of ``symbol``, for
+        arrays of both. ``symbol`` occurs before ``place`` as often as this lies beyond where
+        place 0 comes to."""
         for depth, (packed, before, zeros) in enumerate(self.levels):
             bit = ((symbol >> (self.bits - 1 - depth)) & 1).astype(bool)
-            moved = []
-            for at in (start, place):
-                word = at >> 6
-                mask = (np.uint64(1) << (at & 63).astype(np.uint64)) - np.uint64(1)
-                ones = before[word] + np.bitwise_count(packed[word] & mask)
-                moved.append(np.where(bit, zeros + ones, at - ones))
-            start, place = moved
-        return place - start
+            word = place >> 6
+            mask = (np.uint64(1) << (place & 63).astype(np.uint64)) - np.uint64(1)
+            ones = before[word] + np.bitwise_count(packed[word] & mask)
+            place = np.where(bit, zeros + ones, place - ones)
+        return place
 
 
 class FMIndex:
@@ -208,8 +206,10 @@ class FMIndex:
         self.order = np.argsort(rank, kind="stable")
         self.bits = max(1, int(symbols.max()).bit_length())
         self.tree = WaveletTree(symbols[self.order - 1], self.bits)
-        counts = np.bincount(symbols, minlength=(1 << self.bits) + 1)
-        self.below = np.concatenate(([0], np.cumsum(counts)))
+        below = np.concatenate(([0], np.cumsum(np.bincount(symbols))))[:-1]
+        every = np.arange(len(below))
+        # First row of each symbol's suffixes, less where its occurrences begin in the tree.
+        self.shift = below - self.tree.descend(every, np.zeros_like(every))
 
     def matching_statistics(
         self, symbols: np.ndarray, ends: np.ndarray
@@ -222,9 +222,8 @@ class FMIndex:
         alive = np.arange(len(ends))
         for back in range(1, WINDOW + 1):
             symbol = symbols[ends[alive] - back]
-            base = self.below[symbol]
-            lo = base + self.tree.rank(symbol, low[alive])
-            hi = base + self.tree.rank(symbol, high[alive])
+            lo = self.shift[symbol] + self.tree.descend(symbol, low[alive])
+            hi = self.shift[symbol] + self.tree.descend(symbol, high[alive])
             fit = hi > lo
             alive, lo, hi = alive[fit], lo[fit], hi[fit]
             low[alive], high[alive], length[alive] = lo, hi, back
@@ -380,6 +379,7 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     under one id is left alone. Rows without ``doc_id`` are returned unchanged. An empty
     table gives an empty result; other columns are ignored.
     """
+    bounded_batches(docs.sparkSession)
     starts = durable(repeated_windows(docs), "repeats")
     joined = docs.select("doc_id", "text").join(starts, "doc_id", "left")
     return joined.mapInArrow(_apply, _CLEANED)

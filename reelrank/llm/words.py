@@ -12,20 +12,33 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 #: White space between words, for Java's regular expressions and for ``translate``.
 SPACE_RUN = "[\\x20\\x09-\\x0D]+"
 SPACES = " \t\n\x0b\f\r"
 #: Bytes of text handled at once; a longer text is handled alone.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xD1342543DE82EF95)
 _LENGTH = np.uint64(0xA0761D6478BD642F)
 
 
+#: Bytes of a batch that goes to a Python worker, which holds it whole with what it makes.
+BATCH_BYTES = 8 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Have texts sent to Python workers in batches of ``BATCH_BYTES``, or one text.
+
+    A setting of the session: the default is eight times as large, and a task holds a batch
+    several times over on its way.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def split_words(text: Column) -> Column:
     """The words of ``text`` as an array; null text has none."""
     parts = F.split(F.coalesce(text, F.lit("")), SPACE_RUN, -1)
