@@ -95,7 +95,7 @@ def store_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def movie_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search_docs.movie_tags(fixtures.tags(spark, sf_dir)).drop("part")
+    return search_docs.movie_tags(fixtures.tags(spark, sf_dir))
 
 
 def search_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -412,7 +412,7 @@ vectors as (
   select mid, [{_MONTH_COUNTS}] as f
   from (
     select cast(l_partkey as int) as mid,
-           (year(l_shipdate) - {fixtures.FIRST_YEAR}) * 12 + month(l_shipdate) - 1 as m
+           (year(l_shipdate) * 12 + month(l_shipdate)) % {fixtures.MONTHS} as m
     from lineitem
   ) group by mid
 )"""

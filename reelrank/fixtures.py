@@ -14,8 +14,7 @@ GENRE_NAMES = (
     "Science Fiction", "TV Movie", "Thriller", "War", "Western",
 )
 
-# The shipping dates of the test tables lie in these years.
-FIRST_YEAR = 1995
+# Months of all years fall on this many places, by their number modulo it.
 MONTHS = 84
 
 
@@ -106,9 +105,9 @@ def embedding_factors(spark: SparkSession, sf_dir: str, key: str = "mid") -> Dat
 
 
 def month_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Item vectors made of the number of ratings in each month."""
+    """Item vectors made of the number of ratings in each month, at any date."""
     shipped = F.col("l_shipdate")
-    month = (F.year(shipped) - FIRST_YEAR) * 12 + F.month(shipped) - 1
+    month = F.pmod(F.year(shipped) * 12 + F.month(shipped), F.lit(MONTHS))
     counts = (
         table(spark, sf_dir, "lineitem")
         .select(F.col("l_partkey").cast("int").alias("mid"), month.alias("m"))

@@ -12,6 +12,12 @@ def dot(a: Column, b: Column) -> Column:
     )
 
 
+def is_finite(a: Column) -> Column:
+    """True for vectors whose parts are all there and finite."""
+    good = F.forall(a, lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)))
+    return F.coalesce(good, F.lit(False))
+
+
 def norm(a: Column) -> Column:
     return F.sqrt(dot(a, a))
 

@@ -21,8 +21,10 @@ def run(
     seed: int = factors.SEED,
     top: int = topn.USER_TOP,
     threshold: float = similarity.SIMILARITY_THRESHOLD,
+    blocks: int = factors.BLOCKS,
 ) -> None:
-    model = factors.train_als(stores.ratings(spark, store), rank, iterations, reg, seed)
+    ratings = stores.ratings(spark, store)
+    model = factors.train_als(ratings, rank, iterations, reg, seed, blocks)
     # Stored once, so that neither product depends on the trained model's cached blocks.
     items = durable(factors.item_factors(model), "item-factors")
     users = durable(factors.user_factors(model), "user-factors")
@@ -41,6 +43,7 @@ def main() -> None:
     parser.add_argument("--seed", type=int, default=factors.SEED)
     parser.add_argument("--top", type=int, default=topn.USER_TOP)
     parser.add_argument("--threshold", type=float, default=similarity.SIMILARITY_THRESHOLD)
+    parser.add_argument("--blocks", type=int, default=factors.BLOCKS)
     args = parser.parse_args()
     spark = spark_session("reelrank offline")
     run(
@@ -52,6 +55,7 @@ def main() -> None:
         args.seed,
         args.top,
         args.threshold,
+        args.blocks,
     )
     spark.stop()
 

@@ -5,31 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelrank.plans.lists import bounded_lists
 from reelrank.sources import schemas
-from reelrank.sources.durable import durable
 
-# Distinct tags in one document before it is continued in a further part.
-TAGS_PER_PART = 100_000
 
-
-def movie_tags(tags: DataFrame, tags_per_part: int = TAGS_PER_PART) -> DataFrame:
-    """``(mid, part, tags)``: the distinct tags of each movie, sorted, joined by ``|``.
+def movie_tags(tags: DataFrame) -> DataFrame:
+    """``(mid, tags)``: the distinct tags of each movie, sorted, joined by ``|``.
 
     Copies of a tag go away before anything is grouped by movie, in a shuffle on
-    ``(mid, tag)`` that no popular movie can make uneven; the pairs are then stored.
+    ``(mid, tag)`` that no popular movie can make uneven. A movie's tags are one string at
+    any size, so only its distinct tags meet in a task.
     """
     distinct = tags.select("mid", "tag").filter(F.col("tag").isNotNull()).distinct()
-    lists = bounded_lists(durable(distinct, "tags"), "mid", F.col("tag"), ["tag"], tags_per_part)
-    return lists.select("mid", "part", F.concat_ws("|", "items").alias("tags"))
-
+    lists = distinct.groupBy("mid").agg(F.sort_array(F.collect_list("tag")).alias("items"))
+    return lists.select("mid", F.concat_ws("|", "items").alias("tags"))
 
-def search_documents(
-    movies: DataFrame, tags: DataFrame, tags_per_part: int = TAGS_PER_PART
-) -> DataFrame:
-    """Movies with their tags, 11 columns; ``tags`` is null for movies without any.
 
-    A movie has one document, or one per part of its tags beyond ``tags_per_part``.
-    """
-    index = movie_tags(tags, tags_per_part).drop("part")
+def search_documents(movies: DataFrame, tags: DataFrame) -> DataFrame:
+    """Movies with their tags, 11 columns, one document per movie; ``tags`` is null for
+    movies without any."""
+    index = movie_tags(tags)
     return movies.join(index, "mid", "left").select(*schemas.MOVIE.names, "tags")

@@ -105,18 +105,20 @@ def tags(spark):
 
 
 def test_tag_index(tags):
-    assert rows(search_docs.movie_tags(tags)) == [(10, 0, "a|b"), (11, 0, "z")]
-
-
-def test_long_tag_lists_take_several_parts(spark):
-    names = [f"t{n:03d}" for n in range(100)]
-    data = [(u, 1, name, 0) for u in range(3) for name in names] + [(1, 2, "x", 0)]
-    tags = spark.createDataFrame(data, "uid int, mid int, tag string, timestamp int")
-    index = search_docs.movie_tags(tags, tags_per_part=30).collect()
-    parts = [row.tags.split("|") for row in index if row.mid == 1]
-    assert len(parts) > 1
-    assert sorted(tag for part in parts for tag in part) == names
-    assert [(r.part, r.tags) for r in index if r.mid == 2] == [(0, "x")]
+    assert rows(search_docs.movie_tags(tags)) == [(10, "a|b"), (11, "z")]
+
+
+def test_a_movie_of_very_many_tags_has_one_document(spark):
+    from reelrank.sources import schemas
+
+    many = spark.range(120_000).selectExpr(
+        "1 as uid", "1 as mid", "format_string('t%06d', id) as tag", "0 as timestamp"
+    )
+    movies = spark.createDataFrame([(1, *[""] * 9), (2, *[""] * 9)], schemas.MOVIE)
+    documents = search_docs.search_documents(movies, many.unionByName(many)).collect()
+    assert sorted(row.mid for row in documents) == [1, 2]
+    tags = next(row.tags for row in documents if row.mid == 1).split("|")
+    assert tags == [f"t{n:06d}" for n in range(120_000)]
 
 
 def test_search_documents(spark, tags):
