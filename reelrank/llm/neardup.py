@@ -31,13 +31,15 @@ from reelrank.sources.durable import durable
 
 THRESHOLD = 0.93
 #: Members of a block of nodes, and queries of a block.
-SHARD_ROWS = 1500
+SHARD_ROWS = 600
 #: Pivots of a label at most, and of all labels: 8192 vectors of a few hundred bytes.
 LABEL_PIVOTS = 512
 MAX_PIVOTS = 8192
 #: Shards that a query searches.
 PROBES = 4
-DEGREE = 24
+#: Neighbours of a vector within a shard: the pruned near ones, and far ones that are drawn
+#: from the whole shard and keep dense groups of it connected.
+DEGREE, FAR = 24, 8
 CANDIDATES = 64
 ALPHA = 1.2
 BEAM = 16
@@ -87,11 +89,22 @@ def pivots(classes: DataFrame, shard_rows: int = SHARD_ROWS) -> pd.DataFrame:
     )
 
 
+def _apart(unit: np.ndarray) -> np.ndarray:
+    """Pivots without those that would link with an earlier one, so that a dense group of
+    near copies falls to one pivot and stays in one shard."""
+    alike = unit @ unit.T >= THRESHOLD
+    keep: list[int] = []
+    for i in range(len(unit)):
+        if not alike[i, keep].any():
+            keep.append(i)
+    return unit[keep]
+
+
 def shards(classes: DataFrame, shard_rows: int = SHARD_ROWS, probes: int = PROBES) -> DataFrame:
     """``classes`` with ``near array<int>``: the nearest pivots, the home shard first."""
     sample = pivots(classes, shard_rows)
     tables = {
-        key: _unit(pa.array(list(rows.sort_values("pivot")["embedding"])), key[1])
+        key: _apart(_unit(pa.array(list(rows.sort_values("pivot")["embedding"])), key[1]))
         for key, rows in sample.groupby(["label", "width"])
     }
     shared = classes.sparkSession.sparkContext.broadcast(tables)
@@ -120,8 +133,9 @@ def shards(classes: DataFrame, shard_rows: int = SHARD_ROWS, probes: int = PROBE
 
 
 def robust_lists(unit: np.ndarray) -> np.ndarray:
-    """Pruned neighbour lists of a shard's vectors: ``(n, DEGREE)``, -1 where none is left."""
+    """Neighbour lists of a shard's vectors: ``(n, DEGREE + FAR)``, -1 where none is left."""
     n = len(unit)
+    far = np.random.default_rng(n).integers(0, n, (n, FAR))
     lists = np.full((n, DEGREE), -1, dtype=np.int64)
     if n < 2:
         return lists
@@ -142,7 +156,7 @@ def robust_lists(unit: np.ndarray) -> np.ndarray:
         fit = ~shadowed.any(axis=1) & (count < DEGREE)
         lists[rows[fit], count[fit]] = c[fit]
         count += fit
-    return lists
+    return np.concatenate([lists, far], axis=1)
 
 
 def _build(table: pa.Table) -> pa.Table:
