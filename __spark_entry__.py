@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelrank import fixtures
+from reelrank.functions.vectors import is_finite
 from reelrank.operators import (
     evaluate,
     factors,
@@ -130,6 +131,24 @@ def genres_top_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def load_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rating lines, some made unreadable, loaded permissively: good rows and bad lines."""
+    number, score = F.col("mid") % 50, F.col("score").cast("string")
+    rows = fixtures.ratings(spark, sf_dir).select(
+        F.when(number == 0, F.concat(F.lit("u"), "uid")).otherwise(F.col("uid").cast("string")).alias("uid"),
+        "mid",
+        F.when(number == 1, F.lit("NaN")).otherwise(score).alias("score"),
+        "timestamp",
+    )
+    path = work_dir(spark, "text")
+    fixtures.as_lines(rows, ",").write.text(path)
+    parsed = ingest.parse_ratings(store.read_lines(spark, path), "permissive")
+    bad = ingest.bad_lines({"ratings": parsed}).select("line")
+    good = ingest.good_rows(parsed)
+    blank = [F.lit(-1).cast(f.dataType).alias(f.name) for f in schemas.RATING.fields]
+    return good.withColumn("line", F.lit("")).unionByName(bad.select(*blank, "line"))
+
+
 def _model(spark: SparkSession, sf_dir: str):
     rows = factors.training_rows(fixtures.ratings(spark, sf_dir))
     return factors.train_als(rows, stored=True), rows
@@ -162,6 +181,57 @@ def als_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.als_grid(fixtures.ratings(spark, sf_dir))
 
 
+def als_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(name, n)``: counts over one trained model that have to be as SQL says."""
+    model, rows = _model(spark, sf_dir)
+    movies = fixtures.movies(spark, sf_dir)
+    users = durable(factors.user_factors(model), "users")
+    items = durable(factors.item_factors(model), "items")
+    recs = durable(topn.user_topn_flat(users, items, movies), "recs")
+    edges = durable(similarity.item_similarity(items), "edges")
+    own = model.recommendForAllUsers(topn.USER_TOP).select("uid", F.explode("recommendations"))
+    own = own.select("uid", "col.mid", "col.rating").filter("rating > 0")
+    error = evaluate.model_rmse(model, rows)
+    predicted = model.transform(rows).select("uid", "mid", F.col("prediction").cast("double"))
+    gap = F.col("score").cast("double") - F.col("prediction")
+    plain = rows.join(predicted, ["uid", "mid"]).agg(F.sqrt(F.avg(gap * gap)).alias("rmse"))
+    means = rows.groupBy("mid").agg(F.avg("score").alias("mean"))
+    by_mean = rows.join(means, "mid").agg(
+        F.sqrt(F.avg((F.col("score") - F.col("mean")) ** 2)).alias("rmse")
+    )
+    ranked = recs.join(own, ["uid", "mid"], "left")
+    before = recs.select("uid", (F.col("rank") + 1).alias("rank"), F.col("r").alias("before"))
+    turned = edges.select(F.col("mid2").alias("mid"), F.col("mid").alias("mid2"), "r")
+
+    def finite(df: DataFrame) -> DataFrame:
+        return df.filter(is_finite(F.col("features")) & (F.size("features") == factors.RANK))
+
+    counts = {
+        "users": finite(users),
+        "items": finite(items),
+        "recommendations that are not positive or too many": recs.filter("rank > 10 or r <= 0"),
+        "recommendations outside the catalogue": recs.join(movies, "mid", "left_anti"),
+        "recommendations out of order": recs.join(before, ["uid", "rank"]).filter("r > before"),
+        "recommendations unlike Spark ML's": ranked.filter(
+            F.col("rating").isNull() | (F.abs(F.col("rating") - F.col("r")) > 1e-3)
+        ),
+        "edges at or below the threshold": edges.filter("r <= 0.6 or mid = mid2"),
+        "edges one way only": edges.join(turned, ["mid", "mid2", "r"], "left_anti"),
+        "errors unlike the plain join's": error.join(
+            plain, F.abs(error["rmse"] - plain["rmse"]) > 1e-6
+        ),
+        "errors above the item mean's": error.join(by_mean, error["rmse"] > by_mean["rmse"]),
+    }
+    parts = [
+        df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
+        for name, df in counts.items()
+    ]
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    return result
+
+
 def user_topn_from_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The embeddings as users against the embeddings as items."""
     best = topn.user_topn_flat(
@@ -219,6 +289,19 @@ def recent_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.recent_ratings(fixtures.event_ratings(spark, sf_dir))
 
 
+def recent_from_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest ratings from stored lists of ``mid:score`` entries."""
+    newest = scoring.recent_ratings(fixtures.event_ratings(spark, sf_dir), 30)
+    entry = F.concat_ws(":", "mid", "score")
+    lists = newest.groupBy("uid").agg(
+        F.sort_array(F.collect_list(F.struct("pos", entry.alias("entry")))).alias("sorted")
+    )
+    path = work_dir(spark, "recents")
+    lists.select("uid", F.col("sorted.entry").alias("entries")).write.parquet(path)
+    stored = spark.read.schema(schemas.RECENT_LISTS).parquet(path)
+    return scoring.recent_from_lists(stored)
+
+
 def candidate_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = fixtures.event_ratings(spark, sf_dir)
     last = durable(scoring.last_event_per_user(events))
@@ -310,6 +393,9 @@ _QUERIES = (
     als_item_similarity,
     als_rmse,
     als_grid,
+    als_checks,
+    load_quarantine,
+    recent_from_lists,
     user_topn_from_factors,
     item_similarity,
     item_similarity_embeddings,
@@ -542,6 +628,31 @@ select uid, mid, score,
        cast(row_number() over (
          partition by uid order by "timestamp" desc, mid desc, score desc) as int) as pos
 from ev qualify pos <= 20""",
+        "recent_from_lists": f"""
+with {_EVENTS}
+select uid, mid, score,
+       cast(row_number() over (
+         partition by uid order by "timestamp" desc, mid desc, score desc) as int) as pos
+from ev qualify pos <= 20""",
+        "load_quarantine": f"""
+with {_RATINGS}
+select uid, mid, score, "timestamp", '' as line
+from ratings where mid % 50 > 1
+union all
+select -1, -1, -1, -1,
+       case when mid % 50 = 0 then 'u' else '' end || uid || ',' || mid || ','
+       || case when mid % 50 = 1 then 'NaN' else cast(score as varchar) end
+       || ',' || "timestamp"
+from ratings where mid % 50 <= 1""",
+        "als_checks": f"""
+with {_RATINGS}
+select 'users' as name, count(distinct uid) as n from ratings
+union all select 'items', count(distinct mid) from ratings
+union all select unnest([
+  'recommendations that are not positive or too many', 'recommendations outside the catalogue',
+  'recommendations out of order', 'recommendations unlike Spark ML''s',
+  'edges at or below the threshold', 'edges one way only',
+  'errors unlike the plain join''s', 'errors above the item mean''s']), 0""",
         "candidate_items": f"""
 {_EMBEDDING_SCORING}
 select uid, cand, cast("rank" as int) as "rank" from candidates""",

@@ -7,6 +7,7 @@ from pyspark.sql import SparkSession
 from reelrank.jobs import common
 from reelrank.operators import ingest, search_docs
 from reelrank.session import spark_session
+from reelrank.sources import schemas
 from reelrank.sources import store as stores
 
 
@@ -18,15 +19,24 @@ def run(
     store: stores.TableStore,
     search: stores.TableStore | None = None,
     search_id_option: str | None = None,
-    user_buckets: int = 0,
+    user_buckets: int = stores.USER_BUCKETS,
+    mode: str = "failfast",
 ) -> None:
-    """Parse and store the tables, then build the documents from what was stored."""
+    """Parse and store the tables, then build the documents from what was stored.
+
+    ``failfast`` stops on a bad line. ``permissive`` sets bad lines apart in the table
+    ``LoadQuarantine`` and loads the others.
+    """
+    parsed = {
+        "movies": ingest.parse_movies(stores.read_lines(spark, movies_path), mode),
+        "ratings": ingest.parse_ratings(stores.read_lines(spark, ratings_path), mode),
+        "tags": ingest.parse_tags(stores.read_lines(spark, tags_path), mode),
+    }
+    if mode == "permissive":
+        store.overwrite(ingest.bad_lines(parsed), schemas.LOAD_QUARANTINE_TABLE)
+        parsed = {name: ingest.good_rows(rows) for name, rows in parsed.items()}
     stores.store_tables(
-        store,
-        ingest.parse_movies(stores.read_lines(spark, movies_path)),
-        ingest.parse_ratings(stores.read_lines(spark, ratings_path)),
-        ingest.parse_tags(stores.read_lines(spark, tags_path)),
-        user_buckets,
+        store, parsed["movies"], parsed["ratings"], parsed["tags"], user_buckets
     )
     documents = search_docs.search_documents(
         stores.movies(spark, store), stores.tags(spark, store)
@@ -39,8 +49,12 @@ def main() -> None:
     for name in ("movies", "ratings", "tags"):
         parser.add_argument(f"--{name}", required=True, help=f"text files of {name}")
     parser.add_argument(
-        "--user-buckets", type=int, default=0, help="partition the ratings by user"
+        "--user-buckets",
+        type=int,
+        default=stores.USER_BUCKETS,
+        help="partition the ratings by user; 0 not to",
     )
+    parser.add_argument("--mode", choices=("failfast", "permissive"), default="failfast")
     parser.add_argument("--search-location", help="where the search documents go")
     parser.add_argument("--search-format", default="json")
     parser.add_argument("--search-option", action="append", default=[], metavar="KEY=VALUE")
@@ -65,6 +79,7 @@ def main() -> None:
         search,
         args.search_id_option,
         args.user_buckets,
+        args.mode,
     )
     spark.stop()
 

@@ -32,6 +32,8 @@ GENRES_RECS = _struct(genres=STRING, recs=RECOMMENDATIONS)
 USER_RECS = _struct(uid=INT, recs=RECOMMENDATIONS)
 # ``part`` numbers the lists of one item; see plans.lists.
 MOVIE_RECS = _struct(mid=INT, part=INT, recs=RECOMMENDATIONS)
+# Newest first, each entry ``mid:score``.
+RECENT_LISTS = _struct(uid=INT, entries=T.ArrayType(STRING))
 STREAM_RECS = _struct(uid=INT, recs=RECOMMENDATIONS, recs_text=STRING)
 
 RATE_MORE_MOVIES = _struct(mid=INT, count=LONG)
@@ -48,4 +50,5 @@ GENRES_TOP_TABLE = "GenresTopMovies"
 USER_RECS_TABLE = "UserRecs"
 MOVIE_RECS_TABLE = "MovieRecs"
 STREAM_RECS_TABLE = "StreamRecs"
+LOAD_QUARANTINE_TABLE = "LoadQuarantine"
 SEARCH_TABLE = "MovieSearch"
