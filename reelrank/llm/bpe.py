@@ -23,10 +23,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reelrank.llm.words import CHUNK_BYTES, chunks, mix, span_hashes
+from reelrank.llm.words import CHUNK_BYTES, bounded_batches, chunks, mix, span_hashes
 
 #: Words in the broadcast table; 262,144 words of some 20 bytes with their ids: 10 MB.
 TABLE_WORDS = 1 << 18
+#: Bytes of text that are encoded at once.
+ENCODE_BYTES = 1 << 20
+#: Bytes of text in a batch that a worker holds.
+BATCH_BYTES = 4 << 20
 #: Longest word in the table, in bytes.
 TABLE_WORD_BYTES = 64
 
@@ -174,11 +178,13 @@ def word_hashes(words: list[str]) -> np.ndarray:
     return span_hashes(_values(codes), starts, ends)
 
 
-def _blocks(column: pa.Array, splitter: _Splitter) -> Iterator[tuple[int, Block]]:
+def _blocks(
+    column: pa.Array, splitter: _Splitter, limit: int = CHUNK_BYTES
+) -> Iterator[tuple[int, Block]]:
     column = column.cast(pa.large_string()).fill_null("")
     bounds = np.frombuffer(column.buffers()[1], dtype=np.int64)
     bounds = bounds[column.offset : column.offset + len(column) + 1]
-    for start, end in chunks(bounds, CHUNK_BYTES):
+    for start, end in chunks(bounds, limit):
         yield start, Block(column.slice(start, end - start).to_pylist(), splitter)
 
 
@@ -254,14 +260,21 @@ class _Ragged:
         return self.flat[shift + np.arange(total)]
 
 
-def encode(docs: DataFrame, tokenizer: str, table_words: int = TABLE_WORDS) -> DataFrame:
+def encode(
+    docs: DataFrame,
+    tokenizer: str,
+    table_words: int = TABLE_WORDS,
+    columns: list[str] | None = None,
+) -> DataFrame:
     """``docs`` with ``ids array<int>``: what the tokenizer gives for each whole text,
-    without special tokens of its own.
+    without special tokens of its own. Of ``docs`` only ``columns`` are returned, if given.
 
     ``tokenizer`` is the content of its JSON file. A null or empty text has no ids; rows may
     repeat. A column named ``ids`` gives way to the result.
     """
+    bounded_batches(docs.sparkSession, BATCH_BYTES)
     plain = docs.drop("ids")
+    names = [name for name in columns or plain.columns if name in plain.columns]
     spark = docs.sparkSession
     table = word_table(plain, tokenizer, table_words).sort_values("hash", ignore_index=True)
     ragged = _Ragged(list(table["ids"]))
@@ -275,7 +288,9 @@ def encode(docs: DataFrame, tokenizer: str, table_words: int = TABLE_WORDS) -> D
         starts = np.concatenate(([0], np.cumsum(sizes)))[:-1]
         special = splitter.special
         for batch in batches:
-            for start, block in _blocks(batch.column("text"), splitter):
+            for start, block in _blocks(
+                batch.column("text"), splitter, ENCODE_BYTES
+            ):
                 hashes = block.hashes.view(np.int64)
                 place = np.searchsorted(known, hashes)
                 place[place == len(known)] = 0
@@ -300,13 +315,11 @@ def encode(docs: DataFrame, tokenizer: str, table_words: int = TABLE_WORDS) -> D
                     pa.array(ends, pa.int64()),
                     pa.array(np.concatenate([np.zeros(0, np.int32), *rows])),
                 ).cast(pa.list_(pa.int32()))
-                part = batch.slice(start, len(rows))
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, ids], names=[*part.schema.names, "ids"]
-                )
+                part = batch.slice(start, len(rows)).select(names)
+                yield pa.RecordBatch.from_arrays([*part.columns, ids], names=[*names, "ids"])
 
     ids = T.StructField("ids", T.ArrayType(T.IntegerType()))
-    schema = T.StructType([*plain.schema.fields, ids])
+    schema = T.StructType([*plain.select(*names).schema.fields, ids])
     return plain.mapInArrow(run, schema)
 
 

@@ -56,7 +56,8 @@ def tokenizer() -> str:
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     content = tokenizer()
-    encoded = bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), content)
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = bpe.encode(docs, content, columns=["doc_id"])
     return bpe.digests(bpe.decode(encoded, content)).select(
         "doc_id", "n_tokens", "ids_sha256", "decoded_sha256"
     )

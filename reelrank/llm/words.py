@@ -30,13 +30,13 @@ _LENGTH = np.uint64(0xA0761D6478BD642F)
 BATCH_BYTES = 8 << 20
 
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Have texts sent to Python workers in batches of ``BATCH_BYTES``, or one text.
+def bounded_batches(spark: SparkSession, size: int = BATCH_BYTES) -> None:
+    """Have texts sent to Python workers in batches of ``size`` bytes, or one text.
 
     A setting of the session: the default is eight times as large, and a task holds a batch
     several times over on its way.
     """
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
 def split_words(text: Column) -> Column:
