@@ -9,6 +9,7 @@ from reelrank.operators import ingest, search_docs
 from reelrank.session import spark_session
 from reelrank.sources import schemas
 from reelrank.sources import store as stores
+from reelrank.sources.durable import clear
 
 
 def run(
@@ -81,6 +82,7 @@ def main() -> None:
         args.user_buckets,
         args.mode,
     )
+    clear(spark)
     spark.stop()
 
 

@@ -9,7 +9,7 @@ from reelrank.operators import factors, similarity, topn
 from reelrank.session import spark_session
 from reelrank.sources import schemas
 from reelrank.sources import store as stores
-from reelrank.sources.durable import durable
+from reelrank.sources.durable import clear, durable
 
 
 def run(
@@ -57,6 +57,7 @@ def main() -> None:
         args.threshold,
         args.blocks,
     )
+    clear(spark)
     spark.stop()
 
 

@@ -9,6 +9,7 @@ from reelrank.operators import stats
 from reelrank.session import spark_session
 from reelrank.sources import schemas
 from reelrank.sources import store as stores
+from reelrank.sources.durable import clear
 
 
 def run(spark: SparkSession, store: stores.TableStore) -> None:
@@ -32,6 +33,7 @@ def main() -> None:
     args = common.parser(__doc__).parse_args()
     spark = spark_session("reelrank statistics")
     run(spark, common.table_store(args))
+    clear(spark)
     spark.stop()
 
 

@@ -8,6 +8,7 @@ from reelrank.jobs import common
 from reelrank.operators import evaluate, factors
 from reelrank.session import spark_session
 from reelrank.sources import store as stores
+from reelrank.sources.durable import clear
 
 
 def run(
@@ -29,6 +30,7 @@ def main() -> None:
     args = parser.parse_args()
     spark = spark_session("reelrank tune")
     print(run(spark, common.table_store(args), args.ranks, args.regs, args.iterations))
+    clear(spark)
     spark.stop()
 
 

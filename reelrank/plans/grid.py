@@ -22,6 +22,9 @@ from pyspark.sql import functions as F
 # Groups below this size cost more to schedule than to multiply.
 MIN_GROUP_ROWS = 512
 
+# Partitions of a grid, whatever its number of cells: what one driver schedules with ease.
+MAX_PARTITIONS = 20_000
+
 HELD, PASSING = 0, 1
 
 
@@ -36,8 +39,14 @@ def groups_for(rows: int, group_rows: int, wanted: int) -> int:
 
 
 def place(rows: DataFrame, cells: int) -> DataFrame:
-    """One partition per cell of ``(cell, side, id, vec)``, held rows first."""
-    return rows.repartitionById(cells, F.col("cell")).sortWithinPartitions("cell", "side")
+    """Rows ``(cell, side, id, vec)`` sorted by cell, held rows first.
+
+    A cell has a partition of its own up to ``MAX_PARTITIONS``; beyond, a partition takes
+    several cells, one after the other.
+    """
+    partitions = min(cells, MAX_PARTITIONS)
+    place = F.pmod(F.col("cell"), F.lit(partitions)).cast("int")
+    return rows.repartitionById(partitions, place).sortWithinPartitions("cell", "side")
 
 
 def read_cells(

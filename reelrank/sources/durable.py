@@ -29,9 +29,21 @@ def shared_dir(spark: SparkSession) -> str:
     return current.rstrip("/")
 
 
+# Folder of this process below the shared one.
+_RUN = f"run-{uuid.uuid4().hex}"
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new, unused path under the shared folder."""
-    return f"{shared_dir(spark)}/reelrank/{name}-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/reelrank/{_RUN}/{name}-{uuid.uuid4().hex}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Remove what this process has written to the shared folder; for the end of a job."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/reelrank/{_RUN}")
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    path.getFileSystem(conf).delete(path, True)
 
 
 def durable(df: DataFrame, name: str = "table") -> DataFrame:
