@@ -6,7 +6,8 @@ anchor. Only anchors that occur in two documents matter. Shards are ranges of an
 shard's segments are concatenated into an FM-index (a Burrows-Wheeler transform over a
 wavelet tree), and every distinct segment is streamed through it: backward search from each
 word gives its matching statistic, up to the threshold, and where this is reached the
-least document of the match. Segments are compared word by word there, not by hash.
+least document of the match. Segments are compared word by word there, words by their
+64-bit hash.
 
 A shard is built from a bounded number of words. Copies of a segment are collapsed in the
 tasks that read them, so that a passage in a third of all documents reaches its shard once
