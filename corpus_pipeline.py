@@ -17,7 +17,7 @@ from reelrank.sources.durable import durable
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep; the labelled good ones are the target."""
     judged = quality.quality(docs, trusted_documents(spark, sf_dir))
-    return judged.filter("kept").select(*docs.columns)
+    return quality.accepted(judged).select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,8 +38,9 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every row, with digests of the ids and of the text decoded from them."""
     content = tokenizer()
-    encoded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), content)
-    return bpe.digests(bpe.decode(encoded, content)).drop("text", "decoded")
+    kept = ["doc_id", "lang", "source"]
+    encoded = bpe.encode(docs.select(*kept, "text"), content, columns=kept)
+    return bpe.digests(bpe.decode(encoded, content)).drop("decoded")
 
 
 STAGES = [

@@ -13,6 +13,7 @@ would send every word of the corpus, with its place, over the network twice.
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Iterator
 
@@ -28,9 +29,9 @@ from reelrank.llm.words import CHUNK_BYTES, bounded_batches, chunks, mix, span_h
 #: Words in the broadcast table; 262,144 words of some 20 bytes with their ids: 10 MB.
 TABLE_WORDS = 1 << 18
 #: Bytes of text that are encoded at once.
-ENCODE_BYTES = 1 << 20
+ENCODE_BYTES = 1 << 19
 #: Bytes of text in a batch that a worker holds.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 #: Longest word in the table, in bytes.
 TABLE_WORD_BYTES = 64
 
@@ -48,6 +49,8 @@ _BREAK = "\n"
 
 def load_tokenizer(content: str):
     """The tokenizer of a JSON file's content, without truncation and padding."""
+    # Spark has the cores; threads of the library's own would each keep memory.
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_str(content)
@@ -56,6 +59,13 @@ def load_tokenizer(content: str):
     return tokenizer
 
 
+def encode_words(tokenizer, words: list[str]) -> Iterator[list[int]]:
+    """The ids of each word; a bounded number of the library's large results at a time."""
+    for start in range(0, len(words), 512):
+        part = tokenizer.encode_batch(words[start : start + 512], add_special_tokens=False)
+        yield from (one.ids for one in part)
+
+
 def _classes() -> np.ndarray:
     """Class of each plain character: white space, letter, number or other."""
     kinds = np.full(_PLAIN_LIMIT, _OTHER, dtype=np.uint8)
@@ -228,8 +238,8 @@ def word_table(docs: DataFrame, tokenizer: str, table_words: int = TABLE_WORDS)
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = load_tokenizer(tokenizer)
         for batch in batches:
-            found = own.encode_batch(batch.column("word").to_pylist(), add_special_tokens=False)
-            ids = pa.array([one.ids for one in found], pa.list_(pa.int32()))
+            found = encode_words(own, batch.column("word").to_pylist())
+            ids = pa.array(list(found), pa.list_(pa.int32()))
             yield pa.record_batch([batch.column("hash"), ids], names=["hash", "ids"])
 
     frequent = (
@@ -300,11 +310,9 @@ def encode(
                     at = starts[place[i]]
                     lists[i] = flat[at : at + sizes[place[i]]]
                 missing = [int(i) for i in np.flatnonzero(~hit)]
-                found = splitter.tokenizer.encode_batch(
-                    [block.words[i] for i in missing], add_special_tokens=False
-                )
-                for i, one in zip(missing, found, strict=True):
-                    lists[i] = one.ids
+                found = encode_words(splitter.tokenizer, [block.words[i] for i in missing])
+                for i, ids in zip(missing, found, strict=True):
+                    lists[i] = np.array(ids, dtype=np.int32)
                 for i, word in enumerate(block.words) if special else ():
                     if word in special:
                         lists[i] = [special[word]]

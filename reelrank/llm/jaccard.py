@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from reelrank.llm.components import components
 from reelrank.llm.streams import group_bounds, whole_groups
-from reelrank.llm.words import mix, window_hashes, words_of
+from reelrank.llm.words import bounded_batches, mix, window_hashes, words_of
 from reelrank.sources.durable import durable
 
 SHINGLE = 5
@@ -362,6 +362,7 @@ def jaccard_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     The links are enough to give the components of all links; all of them are true ones.
     """
+    bounded_batches(docs.sparkSession)
     texts = docs.select("doc_id", "text").filter("doc_id is not null")
     if _repeats(texts):
         texts = texts.groupBy("doc_id").agg(F.max("text").alias("text"))

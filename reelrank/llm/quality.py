@@ -157,6 +157,16 @@ def log_ratios(
     )
 
 
+def accepted(judged: DataFrame) -> DataFrame:
+    """The rows of what :func:`quality` gives that are kept.
+
+    An explode of one flag instead of a filter: Catalyst would push a filter below the
+    measures and compute each of them again wherever the verdict uses it.
+    """
+    flags = F.filter(F.array("kept"), lambda kept: kept)
+    return judged.select("*", F.explode(flags).alias("_flag")).drop("_flag")
+
+
 def quality(
     docs: DataFrame,
     trusted: DataFrame,

@@ -82,7 +82,7 @@ def _times(x: np.uint64, y: np.uint64) -> np.uint64:
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """``_STEP ** i`` and its inverse for i up to ``n``."""
     if len(_POWERS.get("up", ())) <= n:
-        size = max(n + 1, CHUNK_BYTES + 1)
+        size = 1 << int(n + 1).bit_length()
         for name, base in (("up", _STEP), ("down", _inverse(_STEP))):
             steps = np.full(size, base, dtype=np.uint64)
             steps[0] = 1
