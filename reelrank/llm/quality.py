@@ -20,8 +20,6 @@ MAX_REPEAT_PERCENT = 30
 BUCKETS = 10_000
 #: Counts added to every bucket of either multinomial.
 SMOOTHING = 1.0
-#: Trusted documents that count for the target, at most.
-TRUSTED_ROWS = 50_000
 #: Least mean log-ratio per n-gram. The corpus holds the trusted text too, so ordinary text
 #: scores near 0; text whose n-grams are twice as common in the corpus as in trusted
 #: documents scores -0.69. Labelled good text stays over -0.1, labelled junk lies mostly below -0.16.
@@ -119,28 +117,32 @@ def _ngrams() -> Column:
     return F.concat("_one", "_two")
 
 
-def log_ratios(
-    docs: DataFrame,
-    trusted: DataFrame,
-    buckets: int = BUCKETS,
-    trusted_rows: int = TRUSTED_ROWS,
-) -> DataFrame:
+def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """One row, ``ratios array<double>``: log(target / raw) of each bucket.
 
     ``docs`` comes from :func:`hashed`. The raw counts cover all words of all documents,
     added up in each task before ``buckets`` rows at most leave it. ``trusted`` (``doc_id``)
-    names the trusted documents, of which the ``trusted_rows`` first in a hash order count,
-    a bound that lets their ids be broadcast.
+    names the trusted documents, which all count. To meet them a document travels as its
+    buckets, two bytes each; ids of either side are dealt by hash, so neither is bounded.
     """
     ids = trusted.select("doc_id").filter("doc_id is not null").distinct()
-    ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(trusted_rows)
-    marked = docs.join(F.broadcast(ids.withColumn("_trusted", F.lit(1))), "doc_id", "left")
-    counts = (
-        marked.select("_trusted", F.explode(_ngrams()).alias("h"))
-        .groupBy(F.pmod("h", F.lit(buckets)).alias("b"))
-        .agg(F.count(F.lit(1)).alias("raw"), F.count("_trusted").alias("target"))
+    kind = "short" if buckets <= 1 << 15 else "int"
+    placed = F.transform(_ngrams(), lambda h: F.pmod(h, F.lit(buckets)).cast(kind))
+    known = docs.select("doc_id", placed.alias("placed")).join(
+        ids.hint("shuffle_hash"), "doc_id", "left_semi"
+    )
+    raw = (
+        docs.select(F.explode(_ngrams()).alias("h"))
+        .groupBy(F.pmod("h", F.lit(buckets)).cast("int").alias("b"))
+        .agg(F.count(F.lit(1)).alias("raw"))
+    )
+    target = (
+        known.select(F.explode("placed").alias("b"))
+        .groupBy(F.col("b").cast("int").alias("b"))
+        .agg(F.count(F.lit(1)).alias("target"))
     )
-    every = docs.sparkSession.range(buckets).select(F.col("id").alias("b"))
+    counts = raw.join(target, "b", "left")
+    every = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("b"))
     filled = every.join(F.broadcast(counts), "b", "left").select(
         "b",
         (F.coalesce("raw", F.lit(0)) + SMOOTHING).alias("raw"),

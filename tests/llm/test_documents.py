@@ -87,6 +87,15 @@ def test_quality_of_nothing(spark, docs):
     assert quality.quality(docs, none).count() == docs.count()
 
 
+def test_quality_counts_all_trusted_documents(spark):
+    ids = spark.range(60_000).withColumnRenamed("id", "doc_id")
+    docs = quality.hashed(ids.selectExpr("doc_id", "concat('w', doc_id % 7, ' same') as text"))
+    # The corpus is the trusted text, so the two multinomials are one.
+    ratios = quality.log_ratios(docs, ids).first()["ratios"]
+    assert len(ratios) == quality.BUCKETS
+    assert max(map(abs, ratios)) < 1e-12
+
+
 def test_line_dedup(spark):
     shared, near = "on every site of them", "on four sites"
     texts = [f"{shared}\nown {i}\n\n{near if i < 4 else 'other'}\n{shared}" for i in range(6)]
