@@ -84,6 +84,7 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(docs, durable(labelled, "labelled")).select(
         "doc_id",
         "word_no",
+        "match_no",
         F.sha2("candidate", 256).alias("candidate_sha256"),
         "probability",
         "kept",

@@ -1,6 +1,7 @@
 """Secret scans: candidate strings, and a random forest that removes false positives.
 
-Candidates are long runs of key-like characters with a digit. The forest, Spark ML's, sees
+Candidates are long runs of key-like characters with a digit, and runs of any length to which
+a key-like name is assigned; a word may hold many. The forest, Spark ML's, sees
 their length, entropy, character transitions, dictionary coverage, path and neighbouring
 words; it is trained on labelled findings. Transitions and the dictionary come from the
 words of all documents. DataFrame functions only on the way of the texts.
@@ -19,7 +20,27 @@ from reelrank.llm.words import split_words
 from reelrank.sources.durable import durable
 
 #: At least 16 key-like characters, one of them a digit.
-CANDIDATE = r"(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{16,}"
+LONG_RUN = (
+    r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{16,}"
+    r"(?:={1,2}(?![A-Za-z0-9+/_=-]))?"
+)
+#: A key-like name; the group is its telling part.
+KEY_NAME = (
+    r"((?i:token|secret|password|passwd|passphrase|pwd|credential|key))"
+    r"(?i:s)?(?:[_.-][A-Za-z0-9_.-]{0,24})?[\"'\])]{0,3}"
+)
+#: What stands between a name and its value.
+LINK = r"[:=]{1,2}>?[\"'(\[]{0,2}"
+#: A value of any length from 4 on, with or without a digit, to which a key-like name is assigned.
+NAMED_RUN = (
+    rf"(?<=[:=>\"'(\[])(?<={KEY_NAME}{LINK})[A-Za-z0-9+/_.@!#$%^*~?-]{{3,}}"
+    r"[A-Za-z0-9+/_@!#$%^*~-](?:={1,2}(?![A-Za-z0-9+/_=-]))?"
+)
+CANDIDATE = f"{NAMED_RUN}|{LONG_RUN}"
+#: A text that may have a candidate.
+_TEXT = rf"{LONG_RUN}|{KEY_NAME}[\x20\x09-\x0D]*[:=]"
+#: Characters of a neighbour that are kept: a word may be a whole file.
+NEAR_CHARS = 96
 ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789"
 #: Most frequent words that make up the dictionary.
 DICTIONARY_WORDS = 2000
@@ -31,6 +52,7 @@ WORD_BUCKETS, PATH_BUCKETS = 32, 16
 #: Least probability of a finding that is kept.
 MIN_PROBABILITY = 0.5
 
+_KEY = ("doc_id", "word_no", "match_no")
 _FEATURES = (
     "f_length",
     "f_entropy",
@@ -45,38 +67,91 @@ _FEATURES = (
     "f_after",
     "f_assigned",
     "f_quoted",
+    "f_named",
 )
 
 
 def candidates(docs: DataFrame, path: str = "source") -> DataFrame:
-    """``(doc_id, path, word_no, word, candidate, before, before_two, after)``.
+    """``(doc_id, path, word_no, match_no, candidate, lead, name, before, before_two, after)``.
 
-    One row per candidate word, numbered from 0 within its text; neighbours that are missing
-    are empty. Texts without any candidate are passed over before they are split.
+    One row per candidate, numbered from 0 within its word as the word is within its text.
+    ``lead`` is what stands before it in the word; a key-like name that the words before
+    assign to it is put in front. ``name`` is the telling part of such a name, or empty.
+    Neighbours that are missing are empty. Texts without any candidate are passed over before
+    they are split.
     """
-    words = split_words(F.col("text"))
     at = F.col("_words")
-    places = F.filter(
-        F.sequence(F.lit(0), F.size(at) - 1), lambda i: F.rlike(F.get(at, i), F.lit(CANDIDATE))
-    )
-    near = lambda shift: F.coalesce(
-        F.get(at, F.col("word_no") + shift), F.lit("")
+    near = lambda i: F.coalesce(F.get(at, i), F.lit(""))
+    tail = lambda c: F.substring(c, -NEAR_CHARS, NEAR_CHARS)
+
+    def named(i: Column) -> Column:
+        """The word with the name that the words before assign to it."""
+        before = tail(near(i - 1))
+        opens = F.rlike(near(i), F.lit("^[:=]"))
+        both = F.concat(tail(near(i - 2)), F.lit(" "), before)
+        name = F.when(opens, F.regexp_extract(before, f"{KEY_NAME}$", 1)).otherwise(
+            F.regexp_replace(F.regexp_extract(both, f"{KEY_NAME} ?{LINK}$", 1), "$", "=")
+        )
+        return F.concat(F.when(name != "=", name).otherwise(F.lit("")), near(i))
+
+    def placed(i: Column) -> Column:
+        linked = F.rlike(near(i), F.lit("^[:=]")) | F.rlike(near(i - 1), F.lit(f"{LINK}$"))
+        return F.rlike(near(i), F.lit(CANDIDATE)) | (
+            linked & F.rlike(named(i), F.lit(CANDIDATE))
+        )
+
+    no = F.col("word_no")
+    matches = F.transform(
+        "_found",
+        lambda found, j: F.struct(
+            j.alias("match_no"),
+            found.alias("candidate"),
+            tail(
+                F.concat(F.coalesce(F.get("_found", j - 1), F.lit("")), F.get("_between", j))
+            ).alias("lead"),
+            F.substring(F.get("_between", j + 1), 1, NEAR_CHARS).alias("follow"),
+        ),
     )
-    return (
-        docs.filter(F.rlike("text", F.lit(CANDIDATE)))
-        .select("doc_id", F.col(path).cast("string").alias("path"), words.alias("_words"))
+    places = F.filter(F.sequence(F.lit(0), F.size(at) - 1), placed)
+    rows = (
+        docs.filter(F.rlike("text", F.lit(_TEXT)))
+        .select(
+            "doc_id",
+            F.col(path).cast("string").alias("path"),
+            split_words(F.col("text")).alias("_words"),
+        )
         .select("*", F.explode(places).alias("word_no"))
         .select(
             "doc_id",
             "path",
             "word_no",
-            near(0).alias("word"),
-            F.regexp_extract(near(0), CANDIDATE, 0).alias("candidate"),
-            near(-1).alias("before"),
-            near(-2).alias("before_two"),
-            near(1).alias("after"),
+            named(no).alias("_word"),
+            tail(near(no - 1)).alias("before"),
+            tail(near(no - 2)).alias("before_two"),
+            F.substring(near(no + 1), 1, NEAR_CHARS).alias("after"),
         )
-    )
+        .withColumn("_found", F.regexp_extract_all("_word", F.lit(CANDIDATE), 0))
+        .withColumn("_between", F.split("_word", CANDIDATE, -1))
+        .select(
+            "doc_id", "path", "word_no", "before", "before_two", "after",
+            F.explode(matches).alias("m"),
+        )
+        .select("doc_id", "path", "word_no", "m.*", "before", "before_two", "after")
+    )
+    # Within a word the neighbours are what stands there.
+    inner = F.rlike("lead", F.lit("[A-Za-z0-9]"))
+    return rows.select(
+        "doc_id",
+        "path",
+        "word_no",
+        "match_no",
+        "candidate",
+        "lead",
+        F.lower(F.regexp_extract("lead", f"{KEY_NAME}{LINK}$", 1)).alias("name"),
+        F.when(inner, F.col("lead")).otherwise(F.col("before")).alias("before"),
+        F.when(inner & (F.col("match_no") > 0), F.col("before")).otherwise(F.col("before_two")).alias("before_two"),
+        F.when(F.rlike("follow", F.lit("[A-Za-z0-9]")), F.col("follow")).otherwise(F.col("after")).alias("after"),
+    )
 
 
 def vocabulary(docs: DataFrame) -> DataFrame:
@@ -183,8 +258,9 @@ def with_features(found: DataFrame, words: DataFrame) -> DataFrame:
         .withColumn("f_before", bucket(bare(F.col("before")), WORD_BUCKETS))
         .withColumn("f_before_two", bucket(bare(F.col("before_two")), WORD_BUCKETS))
         .withColumn("f_after", bucket(bare(F.col("after")), WORD_BUCKETS))
-        .withColumn("f_assigned", F.rlike("before", F.lit("^[=:]|[=:]$")).cast("double"))
-        .withColumn("f_quoted", F.rlike("word", F.lit("^[\"']")).cast("double"))
+        .withColumn("f_assigned", F.rlike("before", F.lit("^[=:]|[=:][\"'(\\[]*$")).cast("double"))
+        .withColumn("f_quoted", F.rlike("lead", F.lit("[\"']$")).cast("double"))
+        .withColumn("f_named", (F.col("name") != "").cast("double"))
         .drop("_logs", "_dictionary", "_chars", "_kinds", "_low")
     )
 
@@ -196,8 +272,8 @@ def train(labelled: DataFrame, rows: int = TRAINING_ROWS) -> PipelineModel:
     repeats itself. They must hold one finding at least.
     """
     sample = (
-        labelled.select("doc_id", "word_no", *_FEATURES, F.col("secret").cast("double"))
-        .orderBy(F.xxhash64("doc_id", "word_no"), "doc_id", "word_no")
+        labelled.select(*_KEY, *_FEATURES, F.col("secret").cast("double"))
+        .orderBy(F.xxhash64(*_KEY), *_KEY)
         .limit(rows)
     )
     forest = RandomForestClassifier(
@@ -219,18 +295,18 @@ def scan(
     training_rows: int = TRAINING_ROWS,
     min_probability: float = MIN_PROBABILITY,
 ) -> DataFrame:
-    """Findings ``(doc_id, path, word_no, candidate, probability, kept)`` of all ``docs``.
+    """Findings ``(doc_id, path, word_no, match_no, candidate, probability, kept)`` of all ``docs``.
 
-    ``labelled`` has ``doc_id, word_no, secret``: which of the findings in some documents are
+    ``labelled`` has ``doc_id, word_no, match_no, secret``: which of the findings in some documents are
     secrets. Null texts have no findings; rows that repeat give their findings again; an
     empty table gives an empty result. Without both labels there is nothing to learn, and all
     findings are kept with probability null.
     """
     features = durable(with_features(candidates(docs, path), durable(vocabulary(docs))), "found")
     known = features.join(
-        labelled.select("doc_id", "word_no", "secret").distinct(), ["doc_id", "word_no"]
+        labelled.select(*_KEY, "secret").distinct(), list(_KEY)
     )
-    fields = ["doc_id", "path", "word_no", "candidate"]
+    fields = ["doc_id", "path", "word_no", "match_no", "candidate"]
     if known.select("secret").distinct().limit(2).count() < 2:
         return features.select(
             *fields, F.lit(None).cast("double").alias("probability"), F.lit(True).alias("kept")
@@ -243,10 +319,12 @@ def scan(
 
 
 def rule_labels(found: DataFrame) -> DataFrame:
-    """Labels by a strict rule, for want of a person's: a secret is a quoted string of mixed
-    letters and digits to which a key-like name is assigned."""
-    named = F.rlike(F.lower("before_two"), F.lit("(token|secret|password|passwd|key)[^a-z0-9]*$"))
+    """Labels by a rule, for want of a person's: a secret (1) is a run of 8 or more, of mixed
+    letters and digits, to which a key-like name is assigned, in any spacing or quoting; no
+    secret (0) is a run of digits alone without such a name. Other findings have no label."""
+    named = F.col("name") != ""
     mixed = F.rlike("candidate", F.lit("[A-Za-z]")) & F.rlike("candidate", F.lit("[0-9]"))
-    quoted = F.rlike("word", F.lit("^[\"'][^\"']+[\"']"))
-    secret = named & F.rlike("before", F.lit("^[=:]")) & mixed & quoted
-    return found.select("doc_id", "word_no", secret.cast("int").alias("secret"))
+    secret = F.when(named & mixed & (F.length("candidate") >= 8), 1).when(
+        ~named & F.rlike("candidate", F.lit("^[0-9+/_=-]+$")), 0
+    )
+    return found.select(*_KEY, secret.alias("secret")).filter("secret is not null")

@@ -182,6 +182,33 @@ def test_secrets(spark):
     assert secret_scan.scan(docs.limit(0), labelled).count() == 0
 
 
+def test_secrets_within_a_word(spark):
+    first, second, number = "a1" * 20, "b2" * 20, "12345678901234567"
+    cases = {
+        f'{{"token":"{first}","id":{number},"key":"{second}"}}': [first, number, second],
+        f"https://x.y/z?token={first}&key={second}": [first, second],
+        f'A="{first}";B="{second}"': [first, second],
+        f"{number},{first}": [number, first],
+        'password = "hunter2" and db.secret: correcthorse': ["hunter2", "correcthorse"],
+        "API_KEY=Zx8" + " monkeys eat keyboards": [],
+    }
+    found = secret_scan.candidates(make(spark, list(cases))).collect()
+    for i, expected in enumerate(cases.values()):
+        mine = sorted((r.word_no, r.match_no, r.candidate) for r in found if r.doc_id == i)
+        assert [c for _, _, c in mine] == expected
+        assert len({m[:2] for m in mine}) == len(mine)
+
+
+@pytest.mark.parametrize("form", [
+    "token = '{}'", "token='{}'", "API_KEY={}", 'token: "{}"', '"token": "{}"',
+    '{{"api_key":"{}"}}', "token ={}", "secret= {}", "x?key={}&y=1",
+])
+def test_secret_labels_in_any_spacing(spark, form):
+    docs = make(spark, [f"see {form.format('ab12' * 8)} here", "id 1234567890123456 and", "ab12" * 8])
+    labels = secret_scan.rule_labels(secret_scan.candidates(docs)).collect()
+    assert {r.doc_id: r.secret for r in labels} == {0: 1, 1: 0}
+
+
 def test_licences(spark):
     apache = "Licensed under the Apache License, Version 2.0."
     rows = [
