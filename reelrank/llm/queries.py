@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from reelrank.llm import (
     bpe,
     chat,
+    codes,
+    divergence,
     jaccard,
     licenses,
     lines,
@@ -136,7 +138,28 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.substring_dedup(_table(spark, sf_dir, "documents"))
 
 
-_QUERIES = (op1_quality_rules, op2_bpe, op3_chat, op4_secret_scan, op5_jaccard_join, op6_mixing, op7_embedding_dedup, op8_line_dedup, op9_license_scan, op10_substring_dedup)
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.report(_table(spark, sf_dir, "embeddings"))
+
+
+_QUERIES = (
+    op1_quality_rules,
+    op2_bpe,
+    op3_chat,
+    op4_secret_scan,
+    op5_jaccard_join,
+    op6_mixing,
+    op7_embedding_dedup,
+    op8_line_dedup,
+    op9_license_scan,
+    op10_substring_dedup,
+    op11_source_divergence,
+    op13_vector_codes,
+)
 
 
 def queries() -> dict:
@@ -157,8 +180,121 @@ solid as (
 )"""
 
 
+def _code_rounds(rounds: int) -> str:
+    """The rounds of op13: parts assigned to the codebook ``book<i>``, then averaged."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""
+near{i} as (
+  select vec_id, label, p, x, min(d * {codes.ENTRIES} + e) as best from (
+    select s.*, b.e, list_sum(list_transform(list_zip(s.x, b.y), lambda t: (t[1] - t[2]) ** 2))::hugeint
+      as d
+    from parts s join book{i} b using (p)
+  ) group by all
+)""")
+        if i < rounds:
+            steps.append(f"""
+sums{i} as (
+  select p, best % {codes.ENTRIES} as e, pos, sum(val)::hugeint as s, count(*) as n
+  from (select p, best, unnest(x) as val, generate_subscripts(x, 1) as pos from near{i})
+  group by all
+),
+book{i + 1} as (
+  select b.p, b.e, coalesce(u.y, b.y) as y from book{i} b left join (
+    select p, e, list(cast((s - ((s % n) + n) % n) // n as bigint) order by pos) as y
+    from sums{i} group by p, e
+  ) u on b.p = u.p and b.e = u.e
+)""")
+    return ",".join(steps)
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op11_source_divergence": rf"""
+with docs as (
+  select row_number() over () as d, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as w
+  from documents
+),
+terms as (select d, lang, source, unnest(w) as term from docs),
+kept as (
+  select lang, term from terms group by lang, term
+  having count(distinct d) >= {divergence.MIN_DOCS}
+),
+sizes as (select lang, count(*) as v from kept group by lang),
+counts as (
+  select lang, source, term, count(*) as c from terms join kept using (lang, term) group by all
+),
+own as (
+  select g.lang, g.source, k.term, coalesce(c.c, 0) as c
+  from (select distinct lang, source from docs) g join kept k on g.lang = k.lang
+  left join counts c on c.lang = g.lang and c.source = g.source and c.term = k.term
+),
+p as (
+  select o.lang, source, term, c,
+    1 + (1000000000::hugeint * (c + 5)) // (sum(c) over (partition by o.lang, source) + 5 * v) as p
+  from own o join sizes z on z.lang = o.lang
+),
+q as (
+  select o.lang, term,
+    1 + (1000000000::hugeint * (sum(c) + 5)) // (sum(sum(c)) over (partition by o.lang) + 5 * v)
+      as q
+  from own o join sizes z on z.lang = o.lang group by o.lang, term, v
+),
+pairs as (
+  select a.lang, a.source, b.source as item, coalesce(f, 0) as value
+  from (select distinct lang, source from docs) a
+  join (select distinct lang, source from docs) b on a.lang = b.lang and a.source <> b.source
+  left join (
+    select x.lang, x.source as s, y.source as t, sum(abs(x.p - y.p)) as f
+    from p x join p y on x.lang = y.lang and x.term = y.term group by all
+  ) z on z.lang = a.lang and z.s = a.source and z.t = b.source
+),
+excess as (
+  select p.lang, source, p.term as item, p - q as value
+  from p join q on p.lang = q.lang and p.term = q.term where c > 0 and p > q
+)
+select lang, source, 'pair' as part, item, cast(value as bigint) as value,
+  cast(row_number() over (partition by lang, source order by value desc, item) as int) as "rank"
+from pairs
+union all
+select * from (
+  select lang, source, 'term', item, cast(value as bigint),
+    cast(row_number() over (partition by lang, source order by value desc, item) as int) as "rank"
+  from excess
+) where "rank" <= {divergence.TOP_TERMS}""",
+        "op13_vector_codes": rf"""
+with kept as (
+  select vec_id, label, list_transform(embedding,
+    lambda x: cast(floor({codes.SCALE} * cast(x as double)) as bigint)) as v
+  from embeddings
+  where embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+parts as (
+  select vec_id, label, p, v[p * len(v) // {codes.PARTS} + 1 : (p + 1) * len(v) // {codes.PARTS}]
+    as x
+  from kept cross join (select unnest(range(0, {codes.PARTS})) as p)
+),
+book0 as (
+  select p, e, x as y from parts join (
+    select vec_id, row_number() over (order by vec_id) - 1 as e from kept
+  ) using (vec_id) where e < {codes.ENTRIES}
+),
+{_code_rounds(codes.ROUNDS)},
+coded as (
+  select vec_id, label, string_agg(format('{{:02x}}', best % {codes.ENTRIES}), '' order by p) as code,
+    cast(sum(best // {codes.ENTRIES}) as bigint) as error
+  from near{codes.ROUNDS} group by vec_id, label
+),
+named as (
+  select sha256(string_agg(array_to_string(y, ','), ',' order by p, e)) as codebooks_sha256
+  from book{codes.ROUNDS}
+)
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error,
+  codebooks_sha256
+from coded cross join named""",
         "op3_chat": rf"""
 with rows as (
   select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text
