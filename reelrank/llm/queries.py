@@ -11,6 +11,7 @@ from reelrank.llm import (
     codes,
     divergence,
     jaccard,
+    katz,
     licenses,
     lines,
     mixing,
@@ -142,6 +143,10 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(_table(spark, sf_dir, "documents"))
 
 
+def op12_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score(katz.split(_table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.report(_table(spark, sf_dir, "embeddings"))
 
@@ -158,6 +163,7 @@ _QUERIES = (
     op9_license_scan,
     op10_substring_dedup,
     op11_source_divergence,
+    op12_katz_scores,
     op13_vector_codes,
 )
 
