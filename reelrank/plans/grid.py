@@ -38,21 +38,25 @@ def groups_for(rows: int, group_rows: int, wanted: int) -> int:
     return max(1, needed, min(wanted, rows // MIN_GROUP_ROWS))
 
 
-def place(rows: DataFrame, cells: int) -> DataFrame:
-    """Rows ``(cell, side, id, vec)`` sorted by cell, held rows first.
+def place(rows: DataFrame, cells: int, *order: str) -> DataFrame:
+    """Rows ``(cell, side, id, vec)`` sorted by cell, held rows first, then by ``order``.
 
     A cell has a partition of its own up to ``MAX_PARTITIONS``; beyond, a partition takes
     several cells, one after the other.
     """
     partitions = min(cells, MAX_PARTITIONS)
     place = F.pmod(F.col("cell"), F.lit(partitions)).cast("int")
-    return rows.repartitionById(partitions, place).sortWithinPartitions("cell", "side")
+    return rows.repartitionById(partitions, place).sortWithinPartitions("cell", "side", *order)
 
 
 def read_cells(
     batches: Iterator[pa.RecordBatch],
+    *also: str,
 ) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """``(cell, side, ids, matrix)`` runs of equal cell and side, in order of arrival."""
+    """``(cell, side, ids, matrix)`` runs of equal cell and side, in order of arrival.
+
+    A run also ends where a column of ``also`` changes.
+    """
     for batch in batches:
         if batch.num_rows == 0:
             continue
@@ -65,7 +69,10 @@ def read_cells(
         if matrix.size != width * batch.num_rows:
             raise ValueError("vectors of different lengths")
         matrix = matrix.astype(np.float64, copy=False).reshape(batch.num_rows, width)
-        cuts = np.flatnonzero((np.diff(cell) != 0) | (np.diff(side) != 0)) + 1
+        change = (np.diff(cell) != 0) | (np.diff(side) != 0)
+        for name in also:
+            change |= np.diff(batch.column(name).to_numpy(zero_copy_only=False)) != 0
+        cuts = np.flatnonzero(change) + 1
         bounds = [0, *cuts.tolist(), batch.num_rows]
         for start, stop in zip(bounds, bounds[1:]):
             yield int(cell[start]), int(side[start]), ids[start:stop], matrix[start:stop]
