@@ -35,6 +35,8 @@ from reelrank.streaming.upsert import latest_recs
 EMBEDDING_THRESHOLD = 0.3
 # Events before this moment form the first of two batches.
 SECOND_BATCH = "2024-01-16 00:00:00"
+# Micro-batches of the stream over all events, and files of each.
+MICRO_BATCHES, BATCH_FILES = 3, 4
 
 
 def _from_text(spark: SparkSession, rows: DataFrame, separator: str, parse) -> DataFrame:
@@ -252,9 +254,17 @@ def _embedding_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _embedding_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _stored_recs(spark: SparkSession, sf_dir: str) -> store.TableStore:
+    """A store with the similar items of the embeddings, in buckets of the item."""
+    target = store.TableStore(work_dir(spark, "similar"))
     edges = durable(_embedding_edges(spark, sf_dir), "edges")
-    return durable(similarity.movie_recs(edges), "recs")
+    store.store_movie_recs(target, similarity.movie_recs(edges))
+    return target
+
+
+def _recs_near(spark: SparkSession, sf_dir: str):
+    """Reads the lists of given items from such a store."""
+    return store.movie_recs_reader(_stored_recs(spark, sf_dir)).near
 
 
 def item_similarity_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -263,11 +273,8 @@ def item_similarity_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def similarity_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows to stored lists and back."""
-    target = store.TableStore(work_dir(spark, "similar"))
-    rows = durable(_embedding_edges(spark, sf_dir), "edges")
-    target.overwrite(similarity.movie_recs(rows), schemas.MOVIE_RECS_TABLE)
-    edges = similarity.similarity_edges(store.movie_recs(spark, target))
-    return edges.withColumn("r", F.round("r", 6))
+    recs = store.movie_recs(spark, _stored_recs(spark, sf_dir))
+    return similarity.similarity_edges(recs).withColumn("r", F.round("r", 6))
 
 
 def rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -303,16 +310,18 @@ def recent_from_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def candidate_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = fixtures.event_ratings(spark, sf_dir)
+    events = durable(fixtures.event_ratings(spark, sf_dir), "events")
     last = durable(scoring.last_event_per_user(events))
-    return scoring.candidate_items(last, _embedding_recs(spark, sf_dir), events)
+    return scoring.candidate_items(
+        last, _recs_near(spark, sf_dir), events, rated_rows=events.count()
+    )
 
 
 def stream_scores_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = fixtures.event_ratings(spark, sf_dir)
+    events = durable(fixtures.event_ratings(spark, sf_dir), "events")
     scores = scoring.score_events(
         durable(scoring.last_event_per_user(events)),
-        _embedding_recs(spark, sf_dir),
+        _recs_near(spark, sf_dir),
         events,
         threshold=EMBEDDING_THRESHOLD,
     )
@@ -334,10 +343,16 @@ def stream_scores_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _rescoring(spark: SparkSession, sf_dir: str) -> Rescoring:
-    recs = _embedding_recs(spark, sf_dir)
+    """A stream over stored tables, of which a batch opens the buckets it needs."""
+    tables = _stored_recs(spark, sf_dir)
+    ratings = fixtures.event_ratings(spark, sf_dir)
+    tables.overwrite(
+        store.ratings_layout(ratings), schemas.RATING_TABLE, store.BY_USER.columns
+    )
     return Rescoring(
-        recs=lambda session: recs,
-        ratings=lambda last: fixtures.event_ratings(last.sparkSession, sf_dir),
+        recs=None,
+        lists=store.movie_recs_reader(tables).near,
+        ratings=store.ratings_reader(tables).near,
         sink=store.TableStore(work_dir(spark, "recs")),
         threshold=EMBEDDING_THRESHOLD,
     )
@@ -365,12 +380,16 @@ def stream_recs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_micro_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All events as a stream of text files, through to the current records."""
+    """All events as a stream of text files, in several micro-batches in the order of time,
+    through to the current records."""
     path = work_dir(spark, "events")
-    fixtures.event_lines(spark, sf_dir).write.text(path)
+    events = durable(fixtures.event_ratings(spark, sf_dir), "ratings")
+    event_sources.write_in_order(events, path, MICRO_BATCHES, BATCH_FILES)
     job = _rescoring(spark, sf_dir)
     query = job.start(
-        event_sources.file_events(spark, path), work_dir(spark, "progress"), interval=None
+        event_sources.file_events(spark, path, max_files_per_trigger=BATCH_FILES),
+        work_dir(spark, "progress"),
+        interval=None,
     )
     query.awaitTermination()
     return _exploded(latest_recs(spark, job.sink))

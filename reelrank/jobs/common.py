@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import argparse
 
-from reelrank.sources.store import TableStore
+from reelrank.sources.tables import TableStore
 
 
 def parser(description: str) -> argparse.ArgumentParser:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 
 from reelrank.session import spark_session
-from reelrank.sources.store import TableStore
+from reelrank.sources.tables import TableStore
 from reelrank.streaming import upsert
 
 

@@ -31,7 +31,7 @@ def main() -> None:
     parser.add_argument("--progress", required=True, help="folder of the stream's progress")
     parser.add_argument("--interval", default="2 seconds", help="time between batches")
     parser.add_argument("--once", action="store_true", help="handle what is there, then stop")
-    parser.add_argument("--refresh", type=float, default=600, help="seconds to keep MovieRecs")
+    parser.add_argument("--refresh", type=float, default=600, help="seconds to hold MovieRecs without buckets")
     parser.add_argument("--compact-every", type=int, default=COMPACT_EVERY, help="batches")
     parser.add_argument("--recent-lists", help="table of stored recent ratings, uid and entries")
     parser.add_argument("--max-recent", type=int, default=scoring.MAX_RECENT)
@@ -48,17 +48,22 @@ def main() -> None:
         writer = recs.write.format(args.recs_format).mode("append")
         writer.options(**common.options(args.recs_option)).save()
 
+    # Kept for the whole stream: what they have listed of a version holds for it.
+    ratings, lists = stores.ratings_reader(store), stores.movie_recs_reader(store)
+    bucketed = lists.buckets(spark)
     job = Rescoring(
         recs=refreshed(lambda session: stores.movie_recs(session, store), args.refresh),
-        ratings=lambda last: stores.ratings_near(last, store),
+        lists=lists.near if bucketed else None,
+        ratings=ratings.near,
         sink=stores.TableStore(args.recs),
         recents=recents if args.recent_lists else None,
         max_recent=args.max_recent,
         compact_every=args.compact_every,
         forward=forward if args.recs_format else None,
     )
-    found = stores.stored_buckets(spark, store)
+    found = ratings.buckets(spark)
     print(f"ratings in {found} user buckets" if found else "ratings not bucketed: read whole")
+    print(f"similar items in {bucketed} buckets" if bucketed else "similar items held in memory")
     source = common.options(args.source_option)
     if args.kafka:
         if not args.topic:

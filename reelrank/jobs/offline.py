@@ -22,6 +22,7 @@ def run(
     top: int = topn.USER_TOP,
     threshold: float = similarity.SIMILARITY_THRESHOLD,
     blocks: int = factors.BLOCKS,
+    item_buckets: int = stores.ITEM_BUCKETS,
 ) -> None:
     ratings = stores.ratings(spark, store)
     model = factors.train_als(ratings, rank, iterations, reg, seed, blocks)
@@ -32,7 +33,7 @@ def run(
         topn.user_topn(users, items, stores.movies(spark, store), top), schemas.USER_RECS_TABLE
     )
     edges = durable(similarity.item_similarity(items, threshold), "edges")
-    store.overwrite(similarity.movie_recs(edges), schemas.MOVIE_RECS_TABLE)
+    stores.store_movie_recs(store, similarity.movie_recs(edges), item_buckets)
 
 
 def main() -> None:
@@ -44,6 +45,12 @@ def main() -> None:
     parser.add_argument("--top", type=int, default=topn.USER_TOP)
     parser.add_argument("--threshold", type=float, default=similarity.SIMILARITY_THRESHOLD)
     parser.add_argument("--blocks", type=int, default=factors.BLOCKS)
+    parser.add_argument(
+        "--item-buckets",
+        type=int,
+        default=stores.ITEM_BUCKETS,
+        help="partitions of the similar items, by item",
+    )
     args = parser.parse_args()
     spark = spark_session("reelrank offline")
     run(
@@ -56,6 +63,7 @@ def main() -> None:
         args.top,
         args.threshold,
         args.blocks,
+        args.item_buckets,
     )
     clear(spark)
     spark.stop()
