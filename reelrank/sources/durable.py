@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,8 +41,11 @@ def work_dir(spark: SparkSession, name: str) -> str:
 
 def clear(spark: SparkSession) -> None:
     """Remove what this process has written to the shared folder; for the end of a job."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/reelrank/{_RUN}")
+    _remove(spark, f"{shared_dir(spark)}/reelrank/{_RUN}")
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     conf = spark._jsparkSession.sessionState().newHadoopConf()
     path.getFileSystem(conf).delete(path, True)
 
@@ -54,4 +58,20 @@ def durable(df: DataFrame, name: str = "table") -> DataFrame:
     """
     path = work_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    _folders[table] = path
+    return table
+
+
+_folders: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
+def release(*tables: DataFrame) -> None:
+    """Remove tables that :func:`durable` has written and nothing will read again.
+
+    What has been computed from them and stored since stays; a plan that still reads one,
+    even to replace lost work, fails.
+    """
+    for table in tables:
+        if table in _folders:
+            _remove(table.sparkSession, _folders.pop(table))
