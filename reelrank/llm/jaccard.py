@@ -168,7 +168,7 @@ _DESCRIBED = "doc_id long, n_shingles long, f1 long, f2 long, sketch binary"
 
 
 def _emit_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``(k, a, b)``: keys of the batch's distinct sets (b -1), pairs of its equal sets."""
+    """``(k, a, b, pair)``: keys of the batch's distinct sets, and pairs of its equal sets."""
     for batch in batches:
         ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
         leader: dict[bytes, int] = {}
@@ -197,9 +197,9 @@ def _emit_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _key_batch(keys: np.ndarray, a: np.ndarray, b: np.ndarray | None) -> pa.RecordBatch:
-    if b is None:
-        b = np.full(len(a), -1, dtype=np.int64)
-    return pa.record_batch([keys.view(np.int64), a, b], names=["k", "a", "b"])
+    pair = pa.array(np.full(len(a), b is not None))
+    other = a if b is None else b
+    return pa.record_batch([keys.view(np.int64), a, other, pair], names=["k", "a", "b", "pair"])
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,8 +209,8 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     by a hash of their members, so that the many keys of one family name one group.
     """
     for table in whole_groups(batches, "k"):
-        k, a, b = (table.column(c).to_numpy() for c in ("k", "a", "b"))
-        given = b >= 0
+        k, a, b, given = (table.column(c).to_numpy() for c in ("k", "a", "b", "pair"))
+        given = given.astype(bool)
         found = [np.stack([a[given], b[given]])]
         k, a = k[~given], a[~given]
         bounds = group_bounds(k)
@@ -368,7 +368,7 @@ def jaccard_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         texts = texts.groupBy("doc_id").agg(F.max("text").alias("text"))
     described = durable(texts.mapInArrow(_describe, _DESCRIBED), "sets")
     met = durable(
-        texts.mapInArrow(_emit_keys, "k long, a long, b long")
+        texts.mapInArrow(_emit_keys, "k long, a long, b long, pair boolean")
         .repartition("k")
         .sortWithinPartitions("k", "a")
         .mapInArrow(_meet, "kind int, a long, b long"),

@@ -45,15 +45,20 @@ ALPHA = 1.2
 BEAM = 16
 
 
-def usable(vectors: DataFrame) -> DataFrame:
-    """Rows that can link: a label, and a vector that is finite and not zero."""
+def _can_link() -> Column:
     finite = F.forall(
         "embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
     )
     ok = finite & F.exists("embedding", lambda x: x != 0)
-    return vectors.filter(
-        F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.coalesce(ok, F.lit(False))
-    ).withColumn("embedding", F.transform("embedding", lambda x: x.cast("double")))
+    named = F.col("vec_id").isNotNull() & F.col("label").isNotNull()
+    return named & F.coalesce(ok, F.lit(False))
+
+
+def usable(vectors: DataFrame) -> DataFrame:
+    """Rows that can link: a label, and a vector that is finite and not zero."""
+    return vectors.filter(_can_link()).withColumn(
+        "embedding", F.transform("embedding", lambda x: x.cast("double"))
+    )
 
 
 def _unit(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
@@ -313,8 +318,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     compared. ``n_links`` counts the other rows linked directly, ``component_id`` is the least
     ``vec_id`` reachable, itself included, and ``kept`` tells whether it is the row's own.
     Vectors that are null, zero, or hold null or non-finite parts, and rows without label,
-    link with nothing; rows without ``vec_id`` are returned with nulls. Rows that repeat are
-    copies of one another. An empty table gives an empty result.
+    link with nothing; rows without ``vec_id`` are returned with nulls. Rows that repeat a
+    vector are copies of one another, also under one ``vec_id``; each row has its result. An empty table gives an empty result.
     """
     plain = vectors.select("vec_id", "embedding", "label")
     valid = usable(plain).withColumn("width", F.size("embedding"))
@@ -336,7 +341,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
         .select(*same, "n_links", "component_id")
     )
     linked = valid.join(ends, same).select("vec_id", "n_links", "component_id")
-    rest = plain.join(linked.select("vec_id"), "vec_id", "left_anti").select(
+    rest = plain.filter(~_can_link()).select(
         "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id")
     )
     return linked.unionByName(rest).withColumn("kept", F.col("vec_id") == F.col("component_id"))

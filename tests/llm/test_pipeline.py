@@ -26,5 +26,5 @@ def test_run(spark):
 
 def test_one_query_per_operator():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.queries())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(queries.oracle_sql()) <= set(queries.queries())
