@@ -1,9 +1,9 @@
 """Source divergence audit: how the sources of a language differ in their words.
 
-One ``CountVectorizer`` fit serves all languages: a term carries its language, so a term's
-document frequency is that within the language, ``minDF`` holds per language, and with the
-largest ``vocabSize`` there is, no term in enough documents is left out. The model gives an
-exact sparse count vector per document. The vectors are summed per group (language, source)
+One ``CountVectorizer`` fit serves many languages: a term begins with its language's mark, so
+a term's document frequency is that within the language, ``minDF`` holds per language, and
+with the largest ``vocabSize`` there is, no term in enough documents is left out. The model
+gives an exact sparse count vector per document. The vectors are summed per group (language, source)
 as sparse rows, which partial sums on the map side keep to one row per group, term and task.
 
 Pairs of sources are evaluated over sparse rows too: a task takes two blocks of sources and a
@@ -15,9 +15,11 @@ integers.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,99 +45,122 @@ _TERM = np.ones(256, dtype=bool)
 _TERM[:0x41] = _TERM[0x5B:0x61] = _TERM[0x7B:0x80] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-#: Stands between the language and the term; no term holds it.
-_MARK = "\x00"
+#: One of these bytes, which no term holds, before a term says which language it is of.
+_MARKS = [byte for byte in range(256) if not _TERM[byte]]
 
 
-def _terms(column: pa.Array) -> pa.Array:
-    """The terms of each text as a list: runs of ASCII letters, lowered, and other letters.
+def _terms(column: pa.Array, marks: np.ndarray) -> pa.Array:
+    """The terms of each text as a list: runs of ASCII letters, lowered, and other letters,
+    each behind its text's mark.
 
     Bytes of one UTF-8 character are all in a run or all outside, so runs can be found in
-    bytes.
+    bytes. A mark takes the place of the byte before its term; texts get one in front.
     """
-    data, bounds = text_buffer(column)
+    empty, space = pa.scalar("", pa.large_string()), pa.scalar(" ", pa.large_string())
+    column = column.cast(pa.large_string()).fill_null("")
+    spaced = pc.binary_join_element_wise(empty, column, space)
+    data, bounds = text_buffer(spaced)
     parts = [pa.array([], pa.list_(pa.string()))]
     for row, end in chunks(bounds):
         cuts = bounds[row : end + 1] - bounds[row]
-        part = data[bounds[row] : bounds[end]]
+        part = _LOWER[data[bounds[row] : bounds[end]]]
         solid = _TERM[part]
-        edge = np.zeros(len(part) + 1, dtype=bool)
-        edge[cuts] = True
-        opens = solid.copy()
-        opens[1:] &= ~solid[:-1] | edge[1:-1]
-        starts = np.flatnonzero(opens)
+        starts = np.flatnonzero(solid[1:] & ~solid[:-1])  # of the marks
+        lists = np.searchsorted(starts, cuts).astype(np.int32)
+        part[starts] = np.repeat(marks[row:end], np.diff(lists))
+        solid[starts] = True
         # The bytes of the terms alone, end to end, and where each term starts among them.
         before = np.concatenate(([0], np.cumsum(solid, dtype=np.int64)))
         places = np.concatenate([before[starts], before[-1:]]).astype(np.int32)
         values = pa.Array.from_buffers(
             pa.string(),
             len(starts),
-            [None, pa.py_buffer(places), pa.py_buffer(_LOWER[part[solid]])],
+            [None, pa.py_buffer(places), pa.py_buffer(part[solid])],
         )
-        lists = np.searchsorted(starts, cuts).astype(np.int32)
         parts.append(pa.ListArray.from_arrays(pa.array(lists), values))
     return pa.concat_arrays(parts)
 
 
-def document_terms(docs: DataFrame) -> DataFrame:
-    """``(lang, source, terms)``: the terms of every whole text; nulls are empty strings."""
+def document_terms(docs: DataFrame, marks: dict[str, int]) -> DataFrame:
+    """``(group_no, terms)``: the marked terms of every whole text in a language of
+    ``marks``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            langs = batch.column("lang").to_pylist()
+            mark = np.array([marks[lang] for lang in langs], dtype=np.uint8)
             yield pa.record_batch(
-                [batch.column("lang"), batch.column("source"), _terms(batch.column("text"))],
-                names=["lang", "source", "terms"],
+                [batch.column("group_no"), _terms(batch.column("text"), mark)],
+                names=["group_no", "terms"],
             )
 
-    text = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")]
-    return docs.select(*text, "text").mapInArrow(
-        run, "lang string, source string, terms array<string>"
-    )
-
-
-def _with_language(terms: DataFrame) -> Column:
-    head = F.concat("lang", F.lit(_MARK))
-    return F.transform("terms", lambda term: F.concat(head, term))
+    own = docs.select(_group_no().alias("group_no"), "lang", "text")
+    own = own.filter(F.col("lang").isin(list(marks)))
+    return own.mapInArrow(run, "group_no long, terms array<string>")
 
 
 def group_counts(docs: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFrame, DataFrame]:
-    """``(lang, source, term_no, count)`` of kept terms, and ``(term_no, lang, term)``.
+    """``(group_no, term_no, count)`` of kept terms, and ``(term_no, lang, term)``. Groups go
+    by a hash of language and source.
 
-    The vocabulary passes through the driver, as a fitted model does: the terms that stand
-    in ``min_docs`` documents of their language.
+    ``docs`` is ``(lang, source, text)`` without null languages and sources. The vocabulary
+    passes through the driver, as a fitted model does: the terms that stand in ``min_docs``
+    documents of their language, and the languages' names. A fit serves as many languages as
+    there are marks.
     """
     spark = docs.sparkSession
-    terms = document_terms(docs)
-    named = terms.select("lang", "source", _with_language(terms).alias("terms"))
+    langs = sorted(row.lang for row in docs.select("lang").distinct().collect())
+    sums, words = [], []
+    for start in range(0, len(langs), len(_MARKS)):
+        marks = dict(zip(langs[start : start + len(_MARKS)], _MARKS))
+        found, vocabulary = _fitted(docs, marks, min_docs)
+        sums.append(found.withColumn("term_no", F.col("term_no") + len(words)))
+        named = {mark: lang for lang, mark in marks.items()}
+        words += [(named[ord(w[0])], w[1:]) if w else ("", "") for w in vocabulary]
+    table = [(number, *word) for number, word in enumerate(words) if word[1]]
+    table = spark.createDataFrame(table, "term_no int, lang string, term string")
+    if not sums:
+        empty = spark.createDataFrame([], "group_no long, term_no int, count long")
+        return empty, table
+    return reduce(DataFrame.unionByName, sums), table
+
+
+def _fitted(
+    docs: DataFrame, marks: dict[str, int], min_docs: int
+) -> tuple[DataFrame, list[str]]:
+    """Counts by group and place in the vocabulary, and the vocabulary."""
+    terms = document_terms(docs, marks)
     # A term of its own, so that a corpus of rare words only has a vocabulary to fit as well.
-    filler = spark.range(min_docs).select(F.array(F.lit(_MARK)).alias("terms"))
+    filler = docs.sparkSession.range(min_docs).select(F.array(F.lit("")).alias("terms"))
     counter = CountVectorizer(
         inputCol="terms", outputCol="vector", minDF=float(min_docs), vocabSize=VOCABULARY
     )
-    model = counter.fit(named.select("terms").unionByName(filler))
-    vocabulary = [
-        (number, *name.rsplit(_MARK, 1))
-        for number, name in enumerate(model.vocabulary)
-        if name != _MARK
-    ]
-    vocabulary = spark.createDataFrame(vocabulary, "term_no int, lang string, term string")
-    entries = F.explode(F.arrays_zip("v.indices", "v.values"))
+    model = counter.fit(terms.select("terms").unionByName(filler))
+    entry = F.explode(F.arrays_zip("v.indices", "v.values"))
     sums = (
-        model.transform(named)
-        .select("lang", "source", F.unwrap_udt("vector").alias("v"))
-        .select("lang", "source", entries.alias("e"))
-        .groupBy("lang", "source", F.col("e.indices").alias("term_no"))
+        model.transform(terms)
+        .select("group_no", F.unwrap_udt("vector").alias("v"))
+        .select("group_no", entry.alias("e"))
+        .groupBy("group_no", F.col("e.indices").alias("term_no"))
         .agg(F.sum(F.col("e.values").cast("long")).alias("count"))
     )
-    return sums, vocabulary
+    return sums, model.vocabulary
+
+
+def _group_no() -> Column:
+    return F.xxhash64("lang", "source")
 
 
 def _probability(count: Column, total: Column, kept: Column) -> Column:
     """``1 + floor(UNIT * (count + 5) / (total + 5 * kept))``, exact at any size."""
     wide = lambda x: x.cast("decimal(20,0)")
-    above = wide(count + SMOOTHING) * F.lit(UNIT).cast("decimal(10,0)")
-    below = wide(total + SMOOTHING * kept)
-    return (F.call_function("div", above, below) + 1).cast("long")
+    over = lambda a, b: F.call_function("div", a, b)
+    above, below = count + SMOOTHING, total + SMOOTHING * kept
+    fits = above < (1 << 62) // UNIT
+    share = F.when(fits, over(above * F.lit(UNIT).cast("long"), below)).otherwise(
+        over(wide(above) * F.lit(UNIT).cast("decimal(10,0)"), wide(below))
+    )
+    return (share + 1).cast("long")
 
 
 def _pair_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,7 +173,7 @@ def _pair_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows = table.slice(start, end - start)
             take = lambda name, rows=rows: rows.column(name).to_numpy()
             side, source, none = take("side"), take("source_no"), take("none")
-            here = [np.flatnonzero(side == which) for which in (0, 1)]
+            here = [np.flatnonzero((side == which) | (side == 2)) for which in (0, 1)]
             number, term = np.unique(take("term_no"), return_inverse=True)
             ids, blocks = [], []
             for own in here:
@@ -207,11 +232,10 @@ def pair_values(groups: DataFrame, terms: DataFrame, term_parts: int) -> DataFra
     rows = rows.join(own, "group_no").withColumn("other", other)
     low, high = F.least("block", "other"), F.greatest("block", "other")
     cell = F.xxhash64("lang", low, high, "share")
-    sides = F.when(F.col("block") < F.col("other"), F.array(F.lit(0)))
-    sides = sides.when(F.col("block") > F.col("other"), F.array(F.lit(1)))
-    sides = sides.otherwise(F.array(F.lit(0), F.lit(1)))
+    # 2: a block that meets itself.
+    side = F.when(F.col("block") < F.col("other"), 0).when(F.col("block") > F.col("other"), 1)
     placed = rows.select(
-        cell.alias("cell"), F.explode(sides).alias("side"),
+        cell.alias("cell"), side.otherwise(2).alias("side"),
         F.col("group_no").alias("source_no"), "term_no", "p", "none",
     )
     sums = (
@@ -249,34 +273,35 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top_terms: int = TOP_TERMS)
     columns are ignored.
     """
     bounded_batches(docs.sparkSession, BATCH_BYTES)
-    spark = docs.sparkSession
+    text = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")]
+    docs = docs.select(*text, "text")
     sums, vocabulary = group_counts(docs, min_docs)
     vocabulary = durable(vocabulary, "vocabulary")
     sums = durable(sums, "counts")
-    text = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")]
     kept = vocabulary.groupBy("lang").agg(F.count(F.lit(1)).alias("kept"))
-    totals = sums.groupBy("lang", "source").agg(F.sum("count").alias("total"))
+    totals = sums.groupBy("group_no").agg(F.sum("count").alias("total"))
     zero = F.lit(0).cast("long")
-    found = docs.select(*text).distinct()
+    found = docs.select("lang", "source").distinct()
     blocks = found.groupBy("lang").agg(
         F.ceil(F.count(F.lit(1)) / SOURCE_BLOCK).cast("int").alias("blocks")
     )
     none = F.when(F.col("kept") > 0, _probability(zero, F.col("total"), F.col("kept")))
     groups = (
         found.join(blocks, "lang").join(kept, "lang", "left")
-        .join(totals, ["lang", "source"], "left")
+        .withColumn("group_no", _group_no())
+        .join(totals, "group_no", "left")
         .withColumn("kept", F.coalesce("kept", zero))
         .withColumn("total", F.coalesce("total", zero))
         .select("lang", "source", "kept", "total", "blocks",
-                F.coalesce(none, zero).alias("none"),
-                F.xxhash64("lang", "source").alias("group_no"),
+                F.coalesce(none, zero).alias("none"), "group_no",
                 F.pmod(F.xxhash64("source"), F.col("blocks").cast("long")).cast("int")
                 .alias("block"))
     )
     groups = durable(groups, "groups")
 
-    own = sums.join(groups, ["lang", "source"]).select(
-        "lang", "source", "group_no", "term_no", "kept",
+    named = sums.join(groups, "group_no")
+    own = named.select(
+        "lang", "source", "group_no", "term_no",
         _probability(F.col("count"), F.col("total"), F.col("kept")).alias("p"),
     )
     rows = sums.count()
@@ -291,8 +316,8 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top_terms: int = TOP_TERMS)
         "lang", "source", F.lit("pair").alias("part"), "item", "value", pair_rank.alias("rank")
     )
 
-    whole = sums.groupBy("lang", "term_no").agg(F.sum("count").alias("count"))
-    language = totals.groupBy("lang").agg(F.sum("total").alias("total")).join(kept, "lang")
+    whole = named.groupBy("lang", "term_no").agg(F.sum("count").alias("count"))
+    language = groups.groupBy("lang", "kept").agg(F.sum("total").alias("total"))
     whole = whole.join(language, "lang").select(
         "term_no", _probability(F.col("count"), F.col("total"), F.col("kept")).alias("q")
     )

@@ -96,3 +96,10 @@ def test_shares_of_terms_add_up(spark):
     for parts in (1, 4):
         found = divergence.pair_values(groups, frame, parts).collect()
         assert {(r.a, r.b): r.value for r in found} == expected and len(found) == 6
+
+
+def test_more_languages_than_marks(spark, rows, monkeypatch):
+    monkeypatch.setattr(divergence, "_MARKS", divergence._MARKS[:2])
+    frame = spark.createDataFrame([(i, *row, i, "old") for i, row in enumerate(rows)], SCHEMA)
+    found = divergence.audit(frame, min_docs=4, top_terms=5)
+    assert sorted(tuple(r) for r in found.collect()) == brute(rows, 4, 5)
