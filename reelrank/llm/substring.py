@@ -21,12 +21,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelrank.llm.streams import whole_groups
 from reelrank.llm.words import Words, bounded_batches, mix, span_hashes, window_hashes, words_of
-from reelrank.sources.durable import durable
+from reelrank.sources.durable import durable, release
 
 #: Words of a window: the least length of what counts as repeated.
 WINDOW = 13
@@ -105,9 +105,11 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _emit_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Shared segments: where each stands (kind 0), and each distinct one's words (kind 1)."""
+    """Shared segments: where each stands (kind 0, with the row in place of the anchor), and
+    each distinct one's words (kind 1)."""
     for batch in batches:
         ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+        rows = batch.column("row").to_numpy(zero_copy_only=False).view(np.uint64)
         lists = batch.column("anchors")
         for words in words_of(batch.column("text")):
             anchors, owner, first, sizes = segments(words)
@@ -130,7 +132,7 @@ def _emit_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 )
                 for i in lead
             ]
-            yield _segment_batch(0, name, anchors, doc, place, sizes, None)
+            yield _segment_batch(0, name, rows[words.first + owner], doc, place, sizes, None)
             yield _segment_batch(
                 1, name[lead], anchors[lead], doc[lead], place[lead], sizes[lead], content
             )
@@ -334,8 +336,11 @@ _CLEANED = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
 
 def repeated_windows(docs: DataFrame) -> DataFrame:
-    """``(doc_id, starts array<long>)``: windows, by their first word's number from 0, whose
-    words also stand in a document with a smaller ``doc_id``."""
+    """``(row, starts array<long>)``: windows, by their first word's number from 0, whose
+    words also stand in a document with a smaller ``doc_id``.
+
+    ``row`` tells apart texts that share a ``doc_id``, see :func:`row_key`.
+    """
     texts = docs.select("doc_id", "text").filter("doc_id is not null and text is not null")
     shared = durable(
         texts.mapInArrow(_emit_anchors, "k long, anchor long, doc_id long, known boolean")
@@ -345,7 +350,9 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
         "anchors",
     )
     lists = shared.groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors"))
-    found = durable(texts.join(lists, "doc_id").mapInArrow(_emit_segments, _SEGMENT), "segments")
+    named = texts.join(lists, "doc_id").withColumn("row", row_key())
+    found = durable(named.mapInArrow(_emit_segments, _SEGMENT), "segments")
+    release(shared)
     least = (
         found.filter("kind = 1")
         .select("name", "anchor", "doc_id", "n", "words")
@@ -353,7 +360,10 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
         .sortWithinPartitions("anchor")
         .mapInArrow(_match_shards, "name long, least array<long>")
     )
-    placed = found.filter("kind = 0").select("name", "doc_id", "place")
+    least = durable(least, "matches")
+    placed = found.filter("kind = 0").select(
+        "name", F.col("anchor").alias("row"), "doc_id", "place"
+    )
     starts = F.filter(
         F.transform(
             "least",
@@ -361,14 +371,20 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
         ),
         lambda start: start.isNotNull(),
     )
-    hits = placed.join(durable(least, "matches"), "name").select(
-        "doc_id", starts.alias("starts")
-    )
-    return (
+    hits = placed.join(least, "name").select("row", starts.alias("starts"))
+    repeats = durable(
         hits.filter(F.size("starts") > 0)
-        .groupBy("doc_id")
-        .agg(F.flatten(F.collect_list("starts")).alias("starts"))
+        .groupBy("row")
+        .agg(F.flatten(F.collect_list("starts")).alias("starts")),
+        "repeats",
     )
+    release(found, least)
+    return repeats
+
+
+def row_key() -> Column:
+    """A number for a row's id and text; equal rows share it."""
+    return F.xxhash64("doc_id", "text")
 
 
 def substring_dedup(docs: DataFrame) -> DataFrame:
@@ -376,11 +392,11 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
 
     Words are ``[^\\x20\\x09-\\x0D]+``, unchanged. A word goes when it lies in a window of 13
     words that also starts in a document with a smaller ``doc_id``. Null texts have no words.
-    Rows that repeat a ``doc_id`` are one document as far as "smaller" goes; a text repeated
-    under one id is left alone. Rows without ``doc_id`` are returned unchanged. An empty
+    Rows that repeat a ``doc_id`` are one document as far as "smaller" goes, and each has its
+    own words; a text repeated under one id is left alone. Rows without ``doc_id`` are returned unchanged. An empty
     table gives an empty result; other columns are ignored.
     """
     bounded_batches(docs.sparkSession)
-    starts = durable(repeated_windows(docs), "repeats")
-    joined = docs.select("doc_id", "text").join(starts, "doc_id", "left")
-    return joined.mapInArrow(_apply, _CLEANED)
+    starts = repeated_windows(docs)
+    keyed = docs.select("doc_id", "text").withColumn("row", row_key())
+    return keyed.join(starts, "row", "left").drop("row").mapInArrow(_apply, _CLEANED)
