@@ -28,6 +28,7 @@ from reelrank.operators import (
 from reelrank.sources import events as event_sources
 from reelrank.sources import schemas, store
 from reelrank.sources.durable import durable, work_dir
+from reelrank.streaming import recents
 from reelrank.streaming.rescoring import Rescoring
 from reelrank.streaming.upsert import latest_recs
 
@@ -35,6 +36,8 @@ from reelrank.streaming.upsert import latest_recs
 EMBEDDING_THRESHOLD = 0.3
 # Events before this moment form the first of two batches.
 SECOND_BATCH = "2024-01-16 00:00:00"
+# Buckets of the stored tables that batches read; by their size there would be one.
+BUCKETS = 8
 # Micro-batches of the stream over all events, and files of each.
 MICRO_BATCHES, BATCH_FILES = 3, 4
 
@@ -205,6 +208,12 @@ def als_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     before = recs.select("uid", (F.col("rank") + 1).alias("rank"), F.col("r").alias("before"))
     turned = edges.select(F.col("mid2").alias("mid"), F.col("mid").alias("mid2"), "r")
 
+    grid = evaluate.als_grid(
+        fixtures.ratings(spark, sf_dir), store=store.TableStore(work_dir(spark, "grid"))
+    )
+    combinations = [F.col("rank").isin(*evaluate.GRID_RANKS)]
+    combinations.append(F.col("reg").isin(*evaluate.GRID_REGULARIZATIONS))
+
     def finite(df: DataFrame) -> DataFrame:
         return df.filter(is_finite(F.col("features")) & (F.size("features") == factors.RANK))
 
@@ -224,6 +233,14 @@ def als_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         "errors above the item mean's": error.join(by_mean, error["rmse"] > by_mean["rmse"]),
     }
+    counts |= {
+        "combinations with a finite error": grid.filter(
+            combinations[0] & combinations[1] & (F.col("rmse") >= 0) & (F.col("rmse") < float("inf"))
+        ).select("rank", "reg").distinct(),
+        "errors of the grid unlike the model's": grid.filter(
+            f"rank = {factors.RANK} and reg = {factors.REGULARIZATION}"
+        ).join(error.withColumnRenamed("rmse", "own"), F.abs(F.col("rmse") - F.col("own")) > 1e-3),
+    }
     parts = [
         df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
         for name, df in counts.items()
@@ -243,6 +260,16 @@ def user_topn_from_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best.withColumn("r", F.round("r", 6))
 
 
+def user_topn_unrated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same without the items that a user has rated."""
+    best = topn.user_topn_flat(
+        fixtures.embedding_factors(spark, sf_dir, "uid"),
+        fixtures.embedding_factors(spark, sf_dir),
+        exclude=fixtures.event_ratings(spark, sf_dir),
+    )
+    return best.withColumn("r", F.round("r", 6))
+
+
 def item_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges = similarity.item_similarity(durable(fixtures.month_factors(spark, sf_dir)))
     return edges.withColumn("r", F.round("r", 6))
@@ -257,8 +284,9 @@ def _embedding_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _stored_recs(spark: SparkSession, sf_dir: str) -> store.TableStore:
     """A store with the similar items of the embeddings, in buckets of the item."""
     target = store.TableStore(work_dir(spark, "similar"))
-    edges = durable(_embedding_edges(spark, sf_dir), "edges")
-    store.store_movie_recs(target, similarity.movie_recs(edges))
+    items = fixtures.table(spark, sf_dir, "embeddings").count()
+    recs = similarity.movie_recs(_embedding_edges(spark, sf_dir), items=items)
+    store.store_movie_recs(target, recs, BUCKETS)
     return target
 
 
@@ -347,7 +375,7 @@ def _rescoring(spark: SparkSession, sf_dir: str) -> Rescoring:
     tables = _stored_recs(spark, sf_dir)
     ratings = fixtures.event_ratings(spark, sf_dir)
     tables.overwrite(
-        store.ratings_layout(ratings), schemas.RATING_TABLE, store.BY_USER.columns
+        store.ratings_layout(ratings, BUCKETS), schemas.RATING_TABLE, store.BY_USER.columns
     )
     return Rescoring(
         recs=None,
@@ -395,6 +423,18 @@ def stream_micro_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _exploded(latest_recs(spark, job.sink))
 
 
+def stream_recents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest ratings as a stream of all events keeps them, in several batches."""
+    path = work_dir(spark, "events")
+    events = durable(fixtures.event_ratings(spark, sf_dir), "ratings")
+    event_sources.write_in_order(events, path, MICRO_BATCHES, BATCH_FILES)
+    sink = store.TableStore(work_dir(spark, "recents"))
+    lines = event_sources.file_events(spark, path, max_files_per_trigger=BATCH_FILES)
+    query = recents.start(lines, sink, work_dir(spark, "progress"), interval=None)
+    query.awaitTermination()
+    return scoring.recent_from_lists(recents.latest(spark, sink))
+
+
 _QUERIES = (
     ingest_movies,
     ingest_ratings,
@@ -416,6 +456,7 @@ _QUERIES = (
     load_quarantine,
     recent_from_lists,
     user_topn_from_factors,
+    user_topn_unrated,
     item_similarity,
     item_similarity_embeddings,
     similarity_edges,
@@ -427,6 +468,7 @@ _QUERIES = (
     stream_scores_ratings,
     stream_recs,
     stream_micro_batches,
+    stream_recents,
 )
 
 
@@ -580,6 +622,27 @@ _CURRENT_RECS = f"""
 select u.uid, coalesce(s.mid, -1) as mid, coalesce(round(s.r, 6), 0) as r
 from (select distinct uid from ev) u left join scores s on s.uid = u.uid"""
 
+
+
+def _top_of(kept: str) -> str:
+    return f"""
+with {_EMBEDDINGS}, scored as (
+  select u.mid as uid, i.mid as mid, list_dot_product(u.f, i.f) as p
+  from vectors u cross join vectors i
+)
+select uid, cast(row_number() over (partition by uid order by p desc, mid) as int) as "rank",
+       mid, round(p, 6) as r
+from scored where {kept}
+qualify "rank" <= 10"""
+
+
+_RECENTS = f"""
+with {_EVENTS}
+select uid, mid, score,
+       cast(row_number() over (
+         partition by uid order by "timestamp" desc, mid desc, score desc) as int) as pos
+from ev qualify pos <= 20"""
+
 _GENRE_VALUES = ", ".join(f"('{name}')" for name in stats.GENRES)
 
 
@@ -623,15 +686,10 @@ select n.genres,
 from names n join movies m on contains(lower(m.genres), lower(n.genres))
 join averages a on a.mid = m.mid
 qualify "rank" <= 10""",
-        "user_topn_from_factors": f"""
-with {_EMBEDDINGS}, scored as (
-  select u.mid as uid, i.mid as mid, list_dot_product(u.f, i.f) as p
-  from vectors u cross join vectors i
-)
-select uid, cast(row_number() over (partition by uid order by p desc, mid) as int) as "rank",
-       mid, round(p, 6) as r
-from scored where p > 0
-qualify "rank" <= 10""",
+        "user_topn_from_factors": _top_of("p > 0"),
+        "user_topn_unrated": f"""
+with {_EVENTS}, {_top_of("""p > 0 and not exists (
+  select 1 from ev x where x.uid = scored.uid and x.mid = scored.mid)""").strip()[len("with "):]}""",
         "item_similarity": _similar(_MONTH_VECTORS, similarity.SIMILARITY_THRESHOLD),
         "item_similarity_embeddings": _similar(_EMBEDDINGS, EMBEDDING_THRESHOLD),
         "similarity_edges": _similar(_EMBEDDINGS, EMBEDDING_THRESHOLD),
@@ -641,18 +699,9 @@ predicted as (select uid, r.mid, avg as p from ratings r join averages a on r.mi
 select round(sqrt(avg((score - p) * (score - p))), 6) as rmse
 from ratings r join predicted q on r.uid = q.uid and r.mid = q.mid""",
         "parse_rating_events": f"with {_EVENTS} select * from ev",
-        "recent_ratings": f"""
-with {_EVENTS}
-select uid, mid, score,
-       cast(row_number() over (
-         partition by uid order by "timestamp" desc, mid desc, score desc) as int) as pos
-from ev qualify pos <= 20""",
-        "recent_from_lists": f"""
-with {_EVENTS}
-select uid, mid, score,
-       cast(row_number() over (
-         partition by uid order by "timestamp" desc, mid desc, score desc) as int) as pos
-from ev qualify pos <= 20""",
+        "recent_ratings": _RECENTS,
+        "recent_from_lists": _RECENTS,
+        "stream_recents": _RECENTS,
         "load_quarantine": f"""
 with {_RATINGS}
 select uid, mid, score, "timestamp", '' as line
@@ -667,11 +716,13 @@ from ratings where mid % 50 <= 1""",
 with {_RATINGS}
 select 'users' as name, count(distinct uid) as n from ratings
 union all select 'items', count(distinct mid) from ratings
+union all select 'combinations with a finite error', 15
 union all select unnest([
   'recommendations that are not positive or too many', 'recommendations outside the catalogue',
   'recommendations out of order', 'recommendations unlike Spark ML''s',
   'edges at or below the threshold', 'edges one way only',
-  'errors unlike the plain join''s', 'errors above the item mean''s']), 0""",
+  'errors unlike the plain join''s', 'errors above the item mean''s',
+  'errors of the grid unlike the model''s']), 0""",
         "candidate_items": f"""
 {_EMBEDDING_SCORING}
 select uid, cand, cast("rank" as int) as "rank" from candidates""",

@@ -20,7 +20,7 @@ def run(
     store: stores.TableStore,
     search: stores.TableStore | None = None,
     search_id_option: str | None = None,
-    user_buckets: int = stores.USER_BUCKETS,
+    user_buckets: int | None = None,
     mode: str = "failfast",
 ) -> None:
     """Parse and store the tables, then build the documents from what was stored.
@@ -52,8 +52,7 @@ def main() -> None:
     parser.add_argument(
         "--user-buckets",
         type=int,
-        default=stores.USER_BUCKETS,
-        help="partition the ratings by user; 0 not to",
+        help="partitions of the ratings, by user; by their number if not given, 0 for none",
     )
     parser.add_argument("--mode", choices=("failfast", "permissive"), default="failfast")
     parser.add_argument("--search-location", help="where the search documents go")

@@ -22,7 +22,8 @@ def run(
     top: int = topn.USER_TOP,
     threshold: float = similarity.SIMILARITY_THRESHOLD,
     blocks: int = factors.BLOCKS,
-    item_buckets: int = stores.ITEM_BUCKETS,
+    item_buckets: int | None = None,
+    leave_out_rated: bool = False,
 ) -> None:
     ratings = stores.ratings(spark, store)
     model = factors.train_als(ratings, rank, iterations, reg, seed, blocks)
@@ -30,7 +31,14 @@ def run(
     items = durable(factors.item_factors(model), "item-factors")
     users = durable(factors.user_factors(model), "user-factors")
     store.overwrite(
-        topn.user_topn(users, items, stores.movies(spark, store), top), schemas.USER_RECS_TABLE
+        topn.user_topn(
+            users,
+            items,
+            stores.movies(spark, store),
+            top,
+            exclude=ratings.select("uid", "mid") if leave_out_rated else None,
+        ),
+        schemas.USER_RECS_TABLE,
     )
     edges = durable(similarity.item_similarity(items, threshold), "edges")
     stores.store_movie_recs(store, similarity.movie_recs(edges), item_buckets)
@@ -48,8 +56,10 @@ def main() -> None:
     parser.add_argument(
         "--item-buckets",
         type=int,
-        default=stores.ITEM_BUCKETS,
-        help="partitions of the similar items, by item",
+        help="partitions of the similar items, by item; by their number if not given",
+    )
+    parser.add_argument(
+        "--leave-out-rated", action="store_true", help="no rated movies among a user's best"
     )
     args = parser.parse_args()
     spark = spark_session("reelrank offline")
@@ -64,6 +74,7 @@ def main() -> None:
         args.threshold,
         args.blocks,
         args.item_buckets,
+        args.leave_out_rated,
     )
     clear(spark)
     spark.stop()

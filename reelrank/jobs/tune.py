@@ -18,7 +18,10 @@ def run(
     regs=evaluate.GRID_REGULARIZATIONS,
     iterations: int = factors.ITERATIONS,
 ) -> tuple[int, float, float]:
-    grid = evaluate.als_grid(stores.ratings(spark, store), ranks, regs, iterations)
+    """Fits that an earlier run has committed to the store are not repeated."""
+    ratings = stores.ratings(spark, store)
+    kept = None if store.table_option else store
+    grid = evaluate.als_grid(ratings, ranks, regs, iterations, store=kept)
     return tuple(evaluate.best_parameters(grid).first())
 
 

@@ -52,10 +52,12 @@ def place(rows: DataFrame, cells: int, *order: str) -> DataFrame:
 def read_cells(
     batches: Iterator[pa.RecordBatch],
     *also: str,
-) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    carry: str | None = None,
+) -> Iterator[tuple]:
     """``(cell, side, ids, matrix)`` runs of equal cell and side, in order of arrival.
 
-    A run also ends where a column of ``also`` changes.
+    A run also ends where a column of ``also`` changes. With ``carry`` each has the rows'
+    values of that column as a fifth part.
     """
     for batch in batches:
         if batch.num_rows == 0:
@@ -75,4 +77,5 @@ def read_cells(
         cuts = np.flatnonzero(change) + 1
         bounds = [0, *cuts.tolist(), batch.num_rows]
         for start, stop in zip(bounds, bounds[1:]):
-            yield int(cell[start]), int(side[start]), ids[start:stop], matrix[start:stop]
+            run = int(cell[start]), int(side[start]), ids[start:stop], matrix[start:stop]
+            yield run if carry is None else (*run, batch.column(carry).slice(start, stop - start))
