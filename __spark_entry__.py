@@ -7,7 +7,6 @@ training starts from random factors, so the queries that train one have no SQL.
 from __future__ import annotations
 
 import importlib
-import importlib.util
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +24,7 @@ from reelrank.operators import (
     stats,
     topn,
 )
+from reelrank.sources import documents as document_source
 from reelrank.sources import events as event_sources
 from reelrank.sources import schemas, store
 from reelrank.sources.durable import durable, work_dir
@@ -117,6 +117,19 @@ def search_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sink.read(spark, schemas.SEARCH_TABLE, schemas.SEARCH_DOCUMENT)
 
 
+def document_upserts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The search documents in a document store, after two overlapping upserts by ``mid``."""
+    spark.dataSource.register(document_source.DocumentSource)
+    keyed = {"path": work_dir(spark, "documents")}
+    sink = store.TableStore("", document_source.FORMAT, keyed, "resource")
+    docs = durable(search_documents(spark, sf_dir), "search")
+    store.write_search_documents(docs, sink, id_option="id")
+    for every, language in ((3, "French"), (5, "German")):
+        changed = docs.filter(F.col("mid") % every == 0).withColumn("language", F.lit(language))
+        sink.upsert(changed, schemas.SEARCH_TABLE, {"id": "mid"})
+    return sink.read(spark, schemas.SEARCH_TABLE, schemas.SEARCH_DOCUMENT)
+
+
 def rate_more_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.rate_more_movies(fixtures.ratings(spark, sf_dir))
 
@@ -443,6 +456,7 @@ _QUERIES = (
     movie_tags,
     search_documents,
     search_index,
+    document_upserts,
     rate_more_movies,
     rate_more_recently,
     average_movie_score,
@@ -479,10 +493,10 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def _training_data():
     """The module of the training-data queries; None where that subpackage is absent."""
-    spec = importlib.util.find_spec("reelrank.llm")
-    if spec is None or spec.origin is None:  # no folder, or one without modules
+    try:
+        return importlib.import_module("reelrank.llm.queries")
+    except ImportError:  # no folder, one without modules, or without what these need
         return None
-    return importlib.import_module("reelrank.llm.queries")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -667,6 +681,10 @@ select 'Tag', uid, mid, tag, 0, "timestamp" from tags""",
         "movie_tags": f"with {_TAGS}, {_TAG_INDEX} select mid, tags from tag_index",
         "search_documents": _DOCUMENTS,
         "search_index": _DOCUMENTS,
+        "document_upserts": f"""
+select * replace (case when mid % 5 = 0 then 'German' when mid % 3 = 0 then 'French'
+  else language end as language)
+from ({_DOCUMENTS})""",
         "rate_more_movies": f"""
 with {_RATINGS}
 select mid, count(*) as count from ratings group by mid order by count desc, mid""",
