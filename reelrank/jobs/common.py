@@ -17,6 +17,12 @@ def parser(description: str) -> argparse.ArgumentParser:
     result.add_argument(
         "--option", action="append", default=[], metavar="KEY=VALUE", help="connector option"
     )
+    result.add_argument(
+        "--keep-seconds",
+        type=int,
+        default=3_600,
+        help="how long replaced versions of a table stay for readers still on them",
+    )
     return result
 
 
@@ -25,4 +31,6 @@ def options(pairs: list[str]) -> dict[str, str]:
 
 
 def table_store(args: argparse.Namespace) -> TableStore:
-    return TableStore(args.store, args.format, options(args.option), args.table_option)
+    return TableStore(
+        args.store, args.format, options(args.option), args.table_option, args.keep_seconds
+    )
