@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelrank import fixtures
+from reelrank.functions.text import encode_recs
 from reelrank.functions.vectors import is_finite
+from reelrank.jobs import statistics as statistics_job
 from reelrank.operators import (
     evaluate,
     factors,
@@ -149,6 +151,47 @@ def genres_top_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def statistics_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four statistics tables as their job stores them, as one table."""
+    target = store.TableStore(work_dir(spark, "statistics"))
+    store.store_tables(
+        target,
+        fixtures.movies(spark, sf_dir),
+        fixtures.ratings(spark, sf_dir),
+        fixtures.tags(spark, sf_dir),
+    )
+    statistics_job.run(spark, target)
+
+    def rows(table: str, schema, value: str, of: str = "''", month: str = "0L") -> DataFrame:
+        return target.read(spark, table, schema).select(
+            F.lit(table).alias("tbl"),
+            F.expr(of).alias("genres"),
+            "mid",
+            F.expr(month).alias("yearmonth"),
+            F.col(value).cast("double").alias("value"),
+        )
+
+    best = target.read(spark, schemas.GENRES_TOP_TABLE, schemas.GENRES_RECS)
+    best = best.select(
+        F.lit(schemas.GENRES_TOP_TABLE).alias("tbl"), "genres", F.inline("recs")
+    ).select("tbl", "genres", "mid", F.lit(0).cast("long").alias("yearmonth"), F.col("r").alias("value"))
+    return (
+        rows(schemas.RATE_MORE_TABLE, schemas.RATE_MORE_MOVIES, "count")
+        .unionByName(rows(schemas.RATE_MORE_RECENTLY_TABLE, schemas.RATE_MORE_RECENTLY, "count",
+                          month="yearmonth"))
+        .unionByName(rows(schemas.AVERAGE_TABLE, schemas.AVERAGE_MOVIES, "avg"))
+        .unionByName(best)
+    )
+
+
+def recents_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each user's newest ratings as one text of ``mid:score`` entries."""
+    newest = scoring.recent_ratings(fixtures.event_ratings(spark, sf_dir))
+    entry = F.struct("pos", "mid", F.col("score").alias("r"))
+    lists = newest.groupBy("uid").agg(F.sort_array(F.collect_list(entry)).alias("recs"))
+    return lists.select("uid", encode_recs(F.col("recs")).alias("recs_text"))
+
+
 def load_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rating lines, some made unreadable, loaded permissively: good rows and bad lines."""
     number, score = F.col("mid") % 50, F.col("score").cast("string")
@@ -461,6 +504,8 @@ _QUERIES = (
     rate_more_recently,
     average_movie_score,
     genres_top_movies,
+    statistics_tables,
+    recents_text,
     als_factors,
     als_user_recs,
     als_item_similarity,
@@ -718,6 +763,28 @@ select round(sqrt(avg((score - p) * (score - p))), 6) as rmse
 from ratings r join predicted q on r.uid = q.uid and r.mid = q.mid""",
         "parse_rating_events": f"with {_EVENTS} select * from ev",
         "recent_ratings": _RECENTS,
+        "recents_text": f"""
+select uid, string_agg(mid || ':' || score, '|' order by pos) as recs_text
+from ({_RECENTS}) group by uid""",
+        "statistics_tables": f"""
+with {_RATINGS}, {_MOVIES}, {_AVERAGES}, names(genres) as (values {_GENRE_VALUES})
+select 'RateMoreMovies' as tbl, '' as genres, mid, cast(0 as bigint) as yearmonth,
+       cast(count(*) as double) as value
+from ratings group by mid
+union all
+select 'RateMoreMoviesRecently', '', mid,
+       cast(strftime(to_timestamp("timestamp") at time zone 'UTC', '%Y%m') as bigint) as month,
+       cast(count(*) as double)
+from ratings group by mid, month
+union all
+select 'AverageMoviesScore', '', mid, 0, avg from averages
+union all
+select * from (
+  select 'GenresTopMovies', n.genres, m.mid, 0, a.avg
+  from names n join movies m on contains(lower(m.genres), lower(n.genres))
+  join averages a on a.mid = m.mid
+  qualify row_number() over (partition by n.genres order by a.avg desc, m.mid) <= 10
+)""",
         "recent_from_lists": _RECENTS,
         "stream_recents": _RECENTS,
         "load_quarantine": f"""
