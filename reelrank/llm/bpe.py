@@ -2,32 +2,35 @@
 
 Texts are normalised and split into words in the tasks that read them. The distinct words
 are counted; those that occur most often (``table_words`` at most, which bounds the table's
-size) are encoded once each, and their ids joined back to every place where they stand. Any
+size) are encoded once each, and their ids looked up at every place where they stand. Any
 other word is encoded where it stands, once per block of text: most of these occur in one
-document only, so that this is their one encoding. Decoding maps ids to pieces by a join with
-the id-to-piece table, as large as the vocabulary.
+document only, so that this is their one encoding. Decoding looks ids up in the id-to-piece
+table, as large as the vocabulary.
 
-The tables are joined by broadcast inside the tasks that hold the texts: a join by shuffle
-would send every word of the corpus, with its place, over the network twice.
+Both tables are small and go to the tasks that hold the texts: a join by shuffle would send
+every word of the corpus, with its place, over the network twice.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reelrank.llm.words import CHUNK_BYTES, bounded_batches, chunks, mix, span_hashes
+from reelrank.sources.durable import durable, release
 
 #: Words in the broadcast table; 262,144 words of some 20 bytes with their ids: 10 MB.
 TABLE_WORDS = 1 << 18
+#: Size classes of word counts, to a doubling.
+COUNT_CLASSES = 16
 #: Bytes of text that are encoded at once.
 ENCODE_BYTES = 1 << 19
 #: Bytes of text in a batch that a worker holds.
@@ -228,28 +231,59 @@ def word_counts(docs: DataFrame, tokenizer: str) -> DataFrame:
     )
 
 
-def word_table(docs: DataFrame, tokenizer: str, table_words: int = TABLE_WORDS) -> pd.DataFrame:
-    """``(hash, ids)`` of the ``table_words`` most frequent words, each encoded once.
+def least_count(counts: DataFrame, table_words: int) -> int:
+    """The least count of the words that go into a table of ``table_words`` at most.
 
-    Words that occur once in the corpus are left out. The result has at most ``table_words``
-    rows of at most 64 bytes of text each; it is what the tasks get.
+    From how many words have counts of each size class: a few hundred rows, whatever the
+    number of words.
+    """
+    size = F.floor(F.log2("n") * COUNT_CLASSES).cast("int")
+    classes = counts.filter("n > 1").groupBy(size.alias("c")).agg(
+        F.count(F.lit(1)).alias("words"), F.min("n").alias("least")
+    )
+    least, room = 1 << 62, table_words
+    for row in sorted(classes.collect(), key=lambda row: -row.c):
+        room -= row.words
+        if room < 0:
+            break
+        least = row.least
+    return least
+
+
+def word_table(
+    docs: DataFrame, tokenizer: str, table_words: int = TABLE_WORDS
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, numbers of ids, and ids end to end, of the most frequent words, each encoded
+    once; by hash.
+
+    ``table_words`` at most, and none that occurs once in the corpus: all words of at least
+    some count. What comes back are three arrays a task, of some 20 bytes a word.
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = load_tokenizer(tokenizer)
         for batch in batches:
-            found = encode_words(own, batch.column("word").to_pylist())
-            ids = pa.array(list(found), pa.list_(pa.int32()))
-            yield pa.record_batch([batch.column("hash"), ids], names=["hash", "ids"])
-
-    frequent = (
-        word_counts(docs, tokenizer)
-        .filter("n > 1")
-        .orderBy(F.desc("n"), "hash")
-        .limit(table_words)
-    )
+            found = list(encode_words(own, batch.column("word").to_pylist()))
+            sizes = np.array([len(ids) for ids in found], dtype=np.int32)
+            flat = np.array([i for ids in found for i in ids], dtype=np.int32)
+            hashes = batch.column("hash").to_numpy()
+            parts = [pa.array([part.tobytes()], pa.binary()) for part in (hashes, sizes, flat)]
+            yield pa.record_batch(parts, names=["hashes", "sizes", "ids"])
+
+    counts = durable(word_counts(docs, tokenizer), "words")
+    frequent = counts.filter(F.col("n") >= least_count(counts, table_words))
     spread = frequent.repartition("hash")
-    return spread.mapInArrow(encode, "hash long, ids array<int>").toPandas()
+    rows = spread.mapInArrow(encode, "hashes binary, sizes binary, ids binary").collect()
+    release(counts)
+    read = lambda name, kind: np.concatenate(
+        [np.zeros(0, kind), *(np.frombuffer(row[name], kind) for row in rows)]
+    )
+    hashes, sizes = read("hashes", np.int64), read("sizes", np.int32).astype(np.int64)
+    ids = read("ids", np.int32)
+    order = np.argsort(hashes)
+    starts = np.cumsum(sizes) - sizes
+    inside = np.arange(len(ids)) - np.repeat(np.cumsum(sizes[order]) - sizes[order], sizes[order])
+    return hashes[order], sizes[order], ids[np.repeat(starts[order], sizes[order]) + inside]
 
 
 class _Ragged:
@@ -286,11 +320,7 @@ def encode(
     plain = docs.drop("ids")
     names = [name for name in columns or plain.columns if name in plain.columns]
     spark = docs.sparkSession
-    table = word_table(plain, tokenizer, table_words).sort_values("hash", ignore_index=True)
-    ragged = _Ragged(list(table["ids"]))
-    shared = spark.sparkContext.broadcast(
-        (table["hash"].to_numpy(np.int64), ragged.sizes, ragged.flat)
-    )
+    shared = spark.sparkContext.broadcast(word_table(plain, tokenizer, table_words))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splitter = _Splitter(tokenizer)
@@ -332,12 +362,11 @@ def encode(
 
 
 def pieces(spark, tokenizer: str) -> DataFrame:
-    """``(id, piece)``: the vocabulary with the special tokens."""
-    vocabulary = load_tokenizer(tokenizer).get_vocab(with_added_tokens=True)
-    return spark.createDataFrame(
-        pd.DataFrame({"id": list(vocabulary.values()), "piece": list(vocabulary)}),
-        "id int, piece string",
-    )
+    """``(id, piece)``: the vocabulary with the special tokens, from the tokenizer's file."""
+    content = json.loads(tokenizer)
+    vocabulary = {number: piece for piece, number in content["model"]["vocab"].items()}
+    vocabulary |= {token["id"]: token["content"] for token in content.get("added_tokens", ())}
+    return spark.createDataFrame(sorted(vocabulary.items()), "id int, piece string")
 
 
 def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
