@@ -8,21 +8,40 @@ what a stage returns as Parquet in the shared folder and gives it, read again, t
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from reelrank.llm import bpe, jaccard, lines, mixing, quality
 from reelrank.llm.queries import tokenizer, trusted_documents
 from reelrank.sources.durable import durable
 
 
+def _apart(docs: DataFrame, *used: str) -> DataFrame:
+    """The columns that an operator uses, and all others in one, so that no name of theirs can
+    meet one of the operator's own."""
+    others = [name for name in docs.columns if name not in used]
+    kept = [name for name in docs.columns if name in used]
+    return docs.select(*kept, F.struct(*others).alias("others")) if others else docs
+
+
+def _together(rows: DataFrame, docs: DataFrame, *used: str) -> DataFrame:
+    """The columns of ``docs`` again."""
+    return rows.select(
+        *(name if name in used else F.col("others").getField(name).alias(name)
+          for name in docs.columns)
+    )
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep; the labelled good ones are the target."""
-    judged = quality.quality(docs, trusted_documents(spark, sf_dir))
-    return quality.accepted(judged).select(*docs.columns)
+    used = ("doc_id", "text")
+    judged = quality.quality(_apart(docs, *used), trusted_documents(spark, sf_dir))
+    return _together(quality.accepted(judged), docs, *used)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents without lines that many sources share."""
-    return lines.line_dedup(docs).select(*docs.columns)
+    used = ("doc_id", "text", "source", "n_chars")
+    return _together(lines.line_dedup(_apart(docs, *used)), docs, *used)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +51,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix of sources; a document has one row for each time it is taken."""
-    return mixing.repeated(mixing.mix(docs), docs.columns)
+    used = ("doc_id", "text", "source")
+    parted = _apart(docs, *used)
+    return _together(mixing.repeated(mixing.mix(parted), parted.columns), docs, *used)
 
 
 def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
