@@ -41,7 +41,7 @@ SECOND_BATCH = "2024-01-16 00:00:00"
 # Buckets of the stored tables that batches read; by their size there would be one.
 BUCKETS = 8
 # Micro-batches of the stream over all events, and files of each.
-MICRO_BATCHES, BATCH_FILES = 3, 4
+MICRO_BATCHES, BATCH_FILES = 2, 4
 
 
 def _from_text(spark: SparkSession, rows: DataFrame, separator: str, parse) -> DataFrame:
