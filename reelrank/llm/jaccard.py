@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -240,20 +241,62 @@ def _met(kind: int, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     )
 
 
+#: Words of 64 bits, or pairs of documents, that a comparison of sketches holds at a time.
+COMPARED = 1 << 20
+
+
+def _flat(sketches: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All sketches as one array of 64-bit words, the first word and the number of words of each."""
+    lengths = pc.binary_length(sketches).to_numpy(zero_copy_only=False).astype(np.int64) // 8
+    chunks = sketches.chunks if isinstance(sketches, pa.ChunkedArray) else [sketches]
+    parts = []
+    for chunk in chunks:
+        if len(chunk):
+            chunk = chunk.cast(pa.large_binary())
+            at = np.frombuffer(chunk.buffers()[1], np.int64)[chunk.offset :][: len(chunk) + 1]
+            number = int(at[-1] - at[0]) // 8
+            if number:
+                parts.append(np.frombuffer(chunk.buffers()[2], np.uint64, number, int(at[0])))
+    words = np.concatenate(parts) if parts else np.zeros(0, dtype=np.uint64)
+    return words, np.cumsum(lengths) - lengths, lengths
+
+
+def _least_differences(
+    one: tuple[np.ndarray, np.ndarray, np.ndarray],
+    other: tuple[np.ndarray, np.ndarray, np.ndarray],
+    a: np.ndarray,
+    b: np.ndarray,
+) -> np.ndarray:
+    """:func:`least_difference` of the sketches ``a`` of ``one`` and ``b`` of ``other``."""
+    out = np.zeros(len(a), dtype=np.int64)
+    shape = one[2][a] * (1 << 32) + other[2][b]
+    order = np.argsort(shape, kind="stable")
+    bounds = group_bounds(shape[order])
+    for start, end in zip(bounds[:-1], bounds[1:], strict=True):
+        x, y = int(one[2][a[order[start]]]), int(other[2][b[order[start]]])
+        least = min(x, y)
+        if least == 0:
+            continue  # nothing is known of an empty one
+        step = max(1, COMPARED // max(x, y))
+        for at in range(start, end, step):
+            rows = order[at : min(end, at + step)]
+            folded = []
+            for (words, first, _), place, length in ((one, a, x), (other, b, y)):
+                read = words[first[place[rows]][:, None] + np.arange(length)]
+                # Folding a sketch again and again is the XOR of its parts.
+                read = read.reshape(len(rows), length // least, least)
+                folded.append(np.bitwise_xor.reduce(read, axis=1))
+            out[rows] = np.bitwise_count(folded[0] ^ folded[1]).sum(axis=1, dtype=np.int64)
+    return out
+
+
 def _sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose bit sketches allow a link, from rows with both sketches."""
     for batch in batches:
-        sizes = zip(
-            batch.column("n_a").to_numpy(),
-            batch.column("n_b").to_numpy(),
-            batch.column("sketch_a"),
-            batch.column("sketch_b"),
-            strict=True,
-        )
-        fit = [
-            least_difference(x.as_py(), y.as_py()) <= most_different(int(n), int(m))
-            for n, m, x, y in sizes
-        ]
+        sizes = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+        rows = np.arange(batch.num_rows)
+        sketches = (_flat(batch.column(f"sketch_{s}")) for s in "ab")
+        fit = _least_differences(*sketches, rows, rows) <= sizes // 9
         yield batch.filter(pa.array(fit, pa.bool_())).select(["a", "b"])
 
 
@@ -296,29 +339,37 @@ def _linked(pairs: DataFrame, described: DataFrame, texts: DataFrame) -> DataFra
 def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs across components within each cell whose bit sketches allow a link."""
     for table in whole_groups(batches, "cell"):
-        cell = table.column("cell").to_numpy()
-        bounds = group_bounds(cell)
-        ids, comps, sizes, sides = (
-            table.column(c).to_numpy() for c in ("doc_id", "comp", "n_shingles", "side")
-        )
-        sketches = table.column("sketch").to_pylist()
-        a, b = [], []
-        for start, end in zip(bounds[:-1], bounds[1:], strict=True):
-            for i in range(start, end):
-                rest = np.arange(i + 1, end)
-                size = sizes[rest]
-                fit = (comps[rest] != comps[i]) & (5 * size >= 4 * sizes[i])
-                fit &= 4 * size <= 5 * sizes[i]
-                # A cell of two slices compares across them only.
-                fit &= (sides[i] == 2) | (sides[rest] != sides[i])
-                for j in rest[fit]:
-                    most = most_different(int(sizes[i]), int(sizes[j]))
-                    if least_difference(sketches[i], sketches[j]) <= most:
-                        a.append(min(ids[i], ids[j]))
-                        b.append(max(ids[i], ids[j]))
-        yield pa.record_batch(
-            [pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"]
+        cell, ids, comps, sizes, sides = (
+            table.column(c).to_numpy() for c in ("cell", "doc_id", "comp", "n_shingles", "side")
         )
+        bounds = group_bounds(cell)
+        sketches = _flat(table.column("sketch"))
+        # By cell and size: a document's partners of its size or above follow it.
+        place = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+        order = np.lexsort((sizes, place))
+        place, size = place[order], sizes[order]
+        width = 2 * int(size.max()) + 2
+        last = np.searchsorted(place * width + size, place * width + 5 * size // 4, side="right")
+        partners = last - np.arange(len(order)) - 1
+        total = np.cumsum(partners)
+        start, done = 0, 0
+        while start < len(order):
+            end = max(start + 1, int(np.searchsorted(total, done + COMPARED, side="right")))
+            rows = np.arange(start, end)
+            i = np.repeat(rows, partners[rows])
+            j = i + 1 + np.arange(len(i)) - np.repeat(total[rows] - partners[rows] - done, partners[rows])
+            start, done = end, int(total[end - 1])
+            a, b = order[i], order[j]
+            # A cell of two slices compares across them only.
+            fit = (comps[a] != comps[b]) & ((sides[a] == 2) | (sides[a] != sides[b]))
+            a, b = a[fit], b[fit]
+            if not len(a):
+                continue
+            near = _least_differences(sketches, sketches, a, b) <= (sizes[a] + sizes[b]) // 9
+            a, b = ids[a[near]], ids[b[near]]
+            yield pa.record_batch(
+                [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"]
+            )
 
 
 def _across(groups: DataFrame, labels: DataFrame, described: DataFrame) -> DataFrame:

@@ -182,6 +182,63 @@ def test_sketch_bounds_the_difference():
         assert jaccard.least_difference(jaccard.bit_sketch(a), jaccard.bit_sketch(b)) <= truth
 
 
+def test_cells_compare_as_pair_by_pair(monkeypatch):
+    """Pairs of a cell come from array operations, in steps of any length, not from a call each."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    rows = []
+    for cell in range(-6, 6):
+        base = np.unique(rng.integers(0, 1 << 63, (3, 33, 66, 200)[cell % 4], dtype=np.uint64))
+        for _ in range(12):
+            left = base[rng.random(len(base)) > rng.random() * 0.15]
+            added = rng.integers(0, 1 << 63, len(base) // 8, dtype=np.uint64)
+            part = np.unique(np.concatenate([base[:1], left, added]))
+            side, comp = (2 if cell % 2 else int(rng.integers(0, 2))), int(rng.integers(0, 5))
+            rows.append((cell, side, len(rows), comp, len(part), jaccard.bit_sketch(part)))
+    expected = {
+        (a[2], b[2])
+        for a in rows
+        for b in rows
+        if a[0] == b[0] and a[2] < b[2] and a[3] != b[3] and (a[1] == 2 or a[1] != b[1])
+        and 5 * a[4] >= 4 * b[4] and 5 * b[4] >= 4 * a[4]
+        and jaccard.least_difference(a[5], b[5]) <= jaccard.most_different(a[4], b[4])
+    }
+    assert len({len(r[5]) for r in rows}) > 3 and 50 < len(expected) < 600
+    names = ["cell", "side", "doc_id", "comp", "n_shingles", "sketch"]
+    table = pa.table(dict(zip(names, zip(*rows))))
+    by_id = {r[2]: r for r in rows}
+    pairs = [(a, b) for a in by_id for b in by_id if (a * b) % 7 == 0]
+    sides = {
+        f"{name}_{s}": [by_id[p[k]][column] for p in pairs]
+        for k, s in enumerate("ab")
+        for name, column in (("n", 4), ("sketch", 5))
+    }
+    beside = pa.table({"a": [a for a, _ in pairs], "b": [b for _, b in pairs], **sides})
+    fit = [
+        (a, b)
+        for a, b in pairs
+        if jaccard.least_difference(by_id[a][5], by_id[b][5])
+        <= jaccard.most_different(by_id[a][4], by_id[b][4])
+    ]
+
+    def called(*_):
+        raise AssertionError("a call per pair")
+
+    monkeypatch.setattr(jaccard, "least_difference", called)
+    for held in (1 << 20, 7):
+        monkeypatch.setattr(jaccard, "COMPARED", held, raising=False)
+        found = [
+            pair
+            for batch in jaccard._cells(iter(table.to_batches(max_chunksize=50)))
+            for pair in zip(batch["a"].to_pylist(), batch["b"].to_pylist())
+        ]
+        assert len(found) == len(set(found)) and set(found) == expected
+        sifted = pa.Table.from_batches(jaccard._sift(iter(beside.to_batches(max_chunksize=500))))
+        assert [*zip(sifted["a"].to_pylist(), sifted["b"].to_pylist())] == fit
+
+
 def test_mixing(spark, texts):
     sources = [["b", "a", None, "c", "hot", "hot", "hot"][i % 7] for i in range(len(texts))]
     docs = make(spark, texts, sources)
