@@ -2,9 +2,12 @@
 
 One ``CountVectorizer`` fit serves many languages: a term begins with its language's mark, so
 a term's document frequency is that within the language, ``minDF`` holds per language, and
-with the largest ``vocabSize`` there is, no term in enough documents is left out. The model
-gives an exact sparse count vector per document. The vectors are summed per group (language, source)
-as sparse rows, which partial sums on the map side keep to one row per group, term and task.
+with the largest ``vocabSize`` there is, no term in enough documents is left out. The fit reads
+each document's terms once, as document frequencies need no more. For the counts the terms of a
+group (language, source) in a batch of texts are brought together: a term that is there ``n``
+times goes to the rows of the powers of two that make up ``n``, and the model gives an exact sparse
+count vector for each row. The vectors, times their rows' powers, are summed per group as sparse
+rows, which partial sums on the map side keep to one row per group, term and task.
 
 Pairs of sources are evaluated over sparse rows too: a task takes two blocks of sources and a
 share of the terms, and visits only terms that occur in one of the blocks. All other terms of
@@ -81,22 +84,72 @@ def _terms(column: pa.Array, marks: np.ndarray) -> pa.Array:
     return pa.concat_arrays(parts)
 
 
+def _once(lists: pa.ListArray) -> pa.ListArray:
+    """Each list's different values, in the order of their first places."""
+    codes = lists.flatten().dictionary_encode()
+    size = max(1, len(codes.dictionary))
+    row = np.repeat(np.arange(len(lists)), lists.value_lengths())
+    pair = pc.unique(pa.array(row * size + codes.indices.to_numpy())).to_numpy()
+    places = np.searchsorted(pair // size, np.arange(len(lists) + 1)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(places), codes.dictionary.take(pa.array(pair % size)))
+
+
+def _by_power(groups: np.ndarray, lists: pa.ListArray) -> Iterator[pa.RecordBatch]:
+    """``(group_no, times, terms)``: per group and power of two the different values whose
+    number in the group's lists has that binary digit."""
+    codes = lists.flatten().dictionary_encode()
+    size = max(1, len(codes.dictionary))
+    names, number = np.unique(groups, return_inverse=True)
+    key = np.repeat(number, lists.value_lengths()) * size + codes.indices.to_numpy()
+    found = pc.value_counts(pa.array(key))
+    pair, count = (found.field(c).to_numpy() for c in ("values", "counts"))
+    for digit in range(int(count.max(initial=0)).bit_length()):
+        own = np.sort(pair[(count >> digit) & 1 == 1])
+        bounds = group_bounds(own // size)
+        group = names[own[bounds[:-1]] // size]
+        terms = codes.dictionary.take(pa.array(own % size))
+        yield pa.record_batch(
+            [
+                pa.array(group, pa.int64()),
+                pa.array(np.full(len(group), 1 << digit)),
+                pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), terms),
+            ],
+            names=["group_no", "times", "terms"],
+        )
+
+
+def _marked(
+    batches: Iterator[pa.RecordBatch], marks: dict[str, int]
+) -> Iterator[tuple[pa.RecordBatch, pa.ListArray]]:
+    for batch in batches:
+        langs = batch.column("lang").to_pylist()
+        mark = np.array([marks[lang] for lang in langs], dtype=np.uint8)
+        yield batch, _terms(batch.column("text"), mark)
+
+
 def document_terms(docs: DataFrame, marks: dict[str, int]) -> DataFrame:
-    """``(group_no, terms)``: the marked terms of every whole text in a language of
+    """``(terms)``: the different marked terms of every whole text in a language of
     ``marks``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            langs = batch.column("lang").to_pylist()
-            mark = np.array([marks[lang] for lang in langs], dtype=np.uint8)
-            yield pa.record_batch(
-                [batch.column("group_no"), _terms(batch.column("text"), mark)],
-                names=["group_no", "terms"],
-            )
+        for _, terms in _marked(batches, marks):
+            yield pa.record_batch([_once(terms)], names=["terms"])
+
+    own = docs.select("lang", "text").filter(F.col("lang").isin(list(marks)))
+    return own.mapInArrow(run, "terms array<string>")
+
+
+def group_terms(docs: DataFrame, marks: dict[str, int]) -> DataFrame:
+    """``(group_no, times, terms)``: the marked terms of all whole texts in a language of
+    ``marks``, each of a row's terms standing for ``times`` of its kind."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, terms in _marked(batches, marks):
+            yield from _by_power(batch.column("group_no").to_numpy(), terms)
 
     own = docs.select(_group_no().alias("group_no"), "lang", "text")
     own = own.filter(F.col("lang").isin(list(marks)))
-    return own.mapInArrow(run, "group_no long, terms array<string>")
+    return own.mapInArrow(run, "group_no long, times long, terms array<string>")
 
 
 def group_counts(docs: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFrame, DataFrame]:
@@ -129,20 +182,19 @@ def _fitted(
     docs: DataFrame, marks: dict[str, int], min_docs: int
 ) -> tuple[DataFrame, list[str]]:
     """Counts by group and place in the vocabulary, and the vocabulary."""
-    terms = document_terms(docs, marks)
     # A term of its own, so that a corpus of rare words only has a vocabulary to fit as well.
     filler = docs.sparkSession.range(min_docs).select(F.array(F.lit("")).alias("terms"))
     counter = CountVectorizer(
         inputCol="terms", outputCol="vector", minDF=float(min_docs), vocabSize=VOCABULARY
     )
-    model = counter.fit(terms.select("terms").unionByName(filler))
+    model = counter.fit(document_terms(docs, marks).unionByName(filler))
     entry = F.explode(F.arrays_zip("v.indices", "v.values"))
     sums = (
-        model.transform(terms)
-        .select("group_no", F.unwrap_udt("vector").alias("v"))
-        .select("group_no", entry.alias("e"))
+        model.transform(group_terms(docs, marks))
+        .select("group_no", "times", F.unwrap_udt("vector").alias("v"))
+        .select("group_no", "times", entry.alias("e"))
         .groupBy("group_no", F.col("e.indices").alias("term_no"))
-        .agg(F.sum(F.col("e.values").cast("long")).alias("count"))
+        .agg(F.sum(F.col("e.values").cast("long") * F.col("times")).alias("count"))
     )
     return sums, model.vocabulary
 

@@ -4,6 +4,8 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from reelrank.llm import divergence
@@ -103,3 +105,25 @@ def test_more_languages_than_marks(spark, rows, monkeypatch):
     frame = spark.createDataFrame([(i, *row, i, "old") for i, row in enumerate(rows)], SCHEMA)
     found = divergence.audit(frame, min_docs=4, top_terms=5)
     assert sorted(tuple(r) for r in found.collect()) == brute(rows, 4, 5)
+
+
+def test_repeated_terms_are_sent_once(spark):
+    lists = pa.array([["a", "b", "a", "a"], [], ["b", "a", "c"], ["c"] * 1_000])
+    once = divergence._once(lists.slice(1))
+    assert once.to_pylist() == [[], ["b", "a", "c"], ["c"]]
+    batches = list(divergence._by_power(np.array([7, 9, 7, 7]), lists))
+    sums, sent = Counter(), 0
+    for batch in batches:
+        for row in batch.to_pylist():
+            assert len(row["terms"]) == len(set(row["terms"]))
+            sums.update({(row["group_no"], term): row["times"] for term in row["terms"]})
+            sent += len(row["terms"])
+    assert sums == {(7, "a"): 4, (7, "b"): 2, (7, "c"): 1_001} and sent == 9
+    assert list(divergence._by_power(np.array([7]), lists.slice(1, 1))) == []
+
+    frame = spark.createDataFrame([(0, "x Y x " * 500, "en", "s", 0, "")] * 2, SCHEMA)
+    own = divergence.document_terms(frame, {"en": 32}).collect()
+    assert [sorted(row.terms) for row in own] == [[" x", " y"]] * 2
+    rows = divergence.group_terms(frame.coalesce(1), {"en": 32}).collect()
+    assert sum(len(row.terms) for row in rows) < 20
+    assert sum(row.times for row in rows if " x" in row.terms) == 2_000
