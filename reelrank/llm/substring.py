@@ -348,10 +348,11 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
         .sortWithinPartitions("k")
         .mapInArrow(_shared, "anchor long, doc_id long"),
         "anchors",
+        drop_shuffles=True,
     )
     lists = shared.groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors"))
     named = texts.join(lists, "doc_id").withColumn("row", row_key())
-    found = durable(named.mapInArrow(_emit_segments, _SEGMENT), "segments")
+    found = durable(named.mapInArrow(_emit_segments, _SEGMENT), "segments", drop_shuffles=True)
     release(shared)
     least = (
         found.filter("kind = 1")
@@ -360,7 +361,7 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
         .sortWithinPartitions("anchor")
         .mapInArrow(_match_shards, "name long, least array<long>")
     )
-    least = durable(least, "matches")
+    least = durable(least, "matches", drop_shuffles=True)
     placed = found.filter("kind = 0").select(
         "name", F.col("anchor").alias("row"), "doc_id", "place"
     )
@@ -377,6 +378,7 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
         .groupBy("row")
         .agg(F.flatten(F.collect_list("starts")).alias("starts")),
         "repeats",
+        drop_shuffles=True,
     )
     release(found, least)
     return repeats

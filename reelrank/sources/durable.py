@@ -50,14 +50,28 @@ def _remove(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(conf).delete(path, True)
 
 
-def durable(df: DataFrame, name: str = "table") -> DataFrame:
+#: Has Spark remove the shuffle files of a query when it ends, and not when the driver next
+#: collects garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def durable(df: DataFrame, name: str = "table", drop_shuffles: bool = False) -> DataFrame:
     """Compute ``df`` once, keep it as a table in the shared folder and read that.
 
     Columnar files rather than a checkpoint of rows: later reads take only the columns they
-    need, and the planner knows the size.
+    need, and the planner knows the size. With ``drop_shuffles`` what was shuffled on the way
+    is removed once the table is there.
     """
     path = work_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP, None)
+    if drop_shuffles:
+        conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if drop_shuffles:
+            conf.unset(_CLEANUP) if before is None else conf.set(_CLEANUP, before)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
     _folders[table] = path
     return table

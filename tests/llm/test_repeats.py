@@ -2,6 +2,8 @@
 
 import hashlib
 import re
+import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +11,8 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from reelrank.llm import jaccard, neardup, substring
 
+from .conftest import make
+
 DATA = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -82,3 +86,17 @@ def test_stages_leave_clashing_columns_alone(spark, stage):
 def test_the_last_stage_on_nothing(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet").limit(0)
     assert corpus_pipeline.bpe_tokens(spark, docs, DATA).collect() == []
+
+
+def test_substring_dedup_keeps_no_shuffle_files(spark, texts):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager()
+    folders = [Path(str(folder)) for folder in manager.diskBlockManager().localDirs()]
+    shuffled = lambda: {f.name for d in folders for f in d.rglob("shuffle_*.data")}
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, value = shuffled(), spark.conf.get(setting, None)
+    repeats = substring.repeated_windows(make(spark, texts).repartition(3))
+    until = time.time() + 20
+    while (left := shuffled() - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+    assert repeats.count() > 0 and spark.conf.get(setting, None) == value
