@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelrank.llm.streams import whole_groups
+from reelrank.llm.streams import group_bounds, whole_groups
 from reelrank.llm.words import Words, bounded_batches, mix, span_hashes, window_hashes, words_of
 from reelrank.sources.durable import durable, release
 
@@ -34,6 +34,10 @@ WINDOW = 13
 ANCHOR = 5
 #: Words in one FM-index; a group of segments with one anchor is never cut.
 INDEX_WORDS = 400_000
+#: Bytes of text handled at once: what is made of them stays in a core's cache.
+CHUNK_BYTES = 512 << 10
+#: Places that go down the wavelet tree at once, for the same reason.
+DESCENTS = 8192
 
 
 def _sliding_min(values: np.ndarray, size: int) -> np.ndarray:
@@ -68,7 +72,7 @@ def _emit_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
         anchors, docs = [], []
-        for words in words_of(batch.column("text")):
+        for words in words_of(batch.column("text"), limit=CHUNK_BYTES):
             found, owner, _, _ = segments(words)
             anchors.append(found)
             docs.append(ids[words.first + owner])
@@ -106,12 +110,13 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _emit_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Shared segments: where each stands (kind 0, with the row in place of the anchor), and
-    each distinct one's words (kind 1)."""
+    the words of each that a batch holds, once (kind 1)."""
     for batch in batches:
         ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
         rows = batch.column("row").to_numpy(zero_copy_only=False).view(np.uint64)
         lists = batch.column("anchors")
-        for words in words_of(batch.column("text")):
+        found, data, size = [], [], 0
+        for words in words_of(batch.column("text"), limit=CHUNK_BYTES):
             anchors, owner, first, sizes = segments(words)
             part = lists.slice(words.first, words.texts)
             wanted = part.flatten().to_numpy().view(np.uint64)
@@ -121,21 +126,31 @@ def _emit_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             anchors, owner, first, sizes = (x[fit] for x in (anchors, owner, first, sizes))
             if len(anchors) == 0:
                 continue
-            name = span_hashes(mix(words.hashes), first, first + sizes + WINDOW - 1)
-            doc = ids[words.first + owner]
+            last = first + sizes + WINDOW - 1
+            name = span_hashes(mix(words.hashes), first, last)
+            text, at = words.spaced(np.arange(len(words.starts)))
+            of = words.first + owner
             place = first - words.of[owner]
-            order = np.lexsort((doc, name))
-            lead = order[np.concatenate(([True], name[order][1:] != name[order][:-1]))]
-            content = [
-                b" ".join(
-                    words.word(j) for j in range(first[i], first[i] + sizes[i] + WINDOW - 1)
-                )
-                for i in lead
-            ]
-            yield _segment_batch(0, name, rows[words.first + owner], doc, place, sizes, None)
-            yield _segment_batch(
-                1, name[lead], anchors[lead], doc[lead], place[lead], sizes[lead], content
+            found.append(
+                (name, anchors, ids[of], rows[of], place, sizes, at[first] + size, at[last] + size)
             )
+            data.append(text)
+            size += len(text)
+        if not found:
+            continue
+        name, anchors, doc, row, place, sizes, start, end = map(
+            np.concatenate, zip(*found, strict=True)
+        )
+        order = np.lexsort((doc, name))
+        lead = order[np.concatenate(([True], name[order][1:] != name[order][:-1]))]
+        data = b"".join(data)
+        # Without the space after the last word.
+        spans = zip(start[lead].tolist(), (end[lead] - 1).tolist(), strict=True)
+        content = [data[a:b] for a, b in spans]
+        yield _segment_batch(0, name, row, doc, place, sizes, None)
+        yield _segment_batch(
+            1, name[lead], anchors[lead], doc[lead], place[lead], sizes[lead], content
+        )
 
 
 _SEGMENT = "kind int, name long, anchor long, doc_id long, place long, n int, words binary"
@@ -156,6 +171,10 @@ def _segment_batch(kind, name, anchor, doc, place, sizes, content) -> pa.RecordB
     )
 
 
+#: The bits of a 64-bit word below each of its places.
+_BELOW = (np.uint64(1) << np.arange(64, dtype=np.uint64)) - np.uint64(1)
+
+
 class WaveletTree:
     """Ranks of symbols in a sequence: one bit vector per bit of the symbols.
 
@@ -166,7 +185,7 @@ class WaveletTree:
     def __init__(self, symbols: np.ndarray, bits: int):
         self.bits = bits
         self.levels = []
-        current = symbols
+        current = symbols.astype(np.uint32) if bits <= 32 else symbols
         for level in range(bits - 1, -1, -1):
             ones = ((current >> level) & 1).astype(bool)
             padded = np.zeros((len(ones) // 64 + 1) * 64, dtype=np.uint8)
@@ -179,70 +198,105 @@ class WaveletTree:
 
     def descend(self, symbol: np.ndarray, place: np.ndarray) -> np.ndarray:
         """Where ``place`` comes to on the lowest level along the bits of ``symbol``, for
-        arrays of both. ``symbol`` occurs before ``place`` as often as this lies beyond where
-        place 0 comes to."""
+        arrays of both; ``place`` may have a row for each of several places. ``symbol`` occurs
+        before ``place`` as often as this lies beyond where place 0 comes to."""
+        out = np.empty_like(place)
+        for start in range(0, len(symbol), DESCENTS):
+            part = slice(start, start + DESCENTS)
+            out[..., part] = self._descend(symbol[part], place[..., part])
+        return out
+
+    def _descend(self, symbol: np.ndarray, place: np.ndarray) -> np.ndarray:
         for depth, (packed, before, zeros) in enumerate(self.levels):
             bit = ((symbol >> (self.bits - 1 - depth)) & 1).astype(bool)
             word = place >> 6
-            mask = (np.uint64(1) << (place & 63).astype(np.uint64)) - np.uint64(1)
-            ones = before[word] + np.bitwise_count(packed[word] & mask)
+            ones = before[word] + np.bitwise_count(packed[word] & _BELOW[place & 63])
             place = np.where(bit, zeros + ones, place - ones)
         return place
 
 
 class FMIndex:
-    """FM-index of a sequence of numbers for patterns of up to ``WINDOW`` symbols.
+    """FM-index of a sequence of numbers from 0 for patterns of up to ``WINDOW`` symbols.
 
-    Suffixes are sorted by their first 16 symbols, which places every shorter pattern's
-    range exactly.
+    Suffixes are sorted by at least their first ``WINDOW`` symbols, which places every such
+    pattern's range exactly.
     """
 
     def __init__(self, symbols: np.ndarray):
         n = len(symbols)
-        rank = np.unique(symbols, return_inverse=True)[1].astype(np.int64)
-        width = 1
+        self.text = symbols
+        self.bits = max(1, int(symbols.max()).bit_length())
+        # Ranks by as many symbols as a number holds, a symbol past the end being the least.
+        width = max(1, 63 // (self.bits + 1))
+        key = np.zeros(n, dtype=np.int64)
+        for ahead in range(min(width, n)):
+            shift = (self.bits + 1) * (width - 1 - ahead)
+            key[: n - ahead] |= (symbols[ahead:] + 1) << shift
         while width < WINDOW:
-            after = np.zeros(n, dtype=np.int64)
-            after[: max(0, n - width)] = rank[width:] + 1
-            rank = np.unique(rank * (n + 1) + after, return_inverse=True)[1].astype(np.int64)
+            order = np.argsort(key)
+            ranked = key[order]
+            rank = np.empty(n, dtype=np.int64)
+            rank[order] = np.cumsum(np.concatenate(([0], ranked[1:] != ranked[:-1])))
+            key = rank * (n + 1)
+            key[: max(0, n - width)] += rank[width:] + 1
             width *= 2
-        self.order = np.argsort(rank, kind="stable")
-        self.bits = max(1, int(symbols.max()).bit_length())
+        self.order = np.argsort(key)
+        self.row = np.empty(n, dtype=np.int64)
+        self.row[self.order] = np.arange(n)
         self.tree = WaveletTree(symbols[self.order - 1], self.bits)
-        below = np.concatenate(([0], np.cumsum(np.bincount(symbols))))[:-1]
-        every = np.arange(len(below))
+        self.below = np.concatenate(([0], np.cumsum(np.bincount(symbols))))
+        every = np.arange(len(self.below) - 1)
         # First row of each symbol's suffixes, less where its occurrences begin in the tree.
-        self.shift = below - self.tree.descend(every, np.zeros_like(every))
+        self.shift = self.below[:-1] - self.tree.descend(every, np.zeros_like(every))
 
     def matching_statistics(
         self, symbols: np.ndarray, ends: np.ndarray
     ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Length (at most ``WINDOW``) of the longest match that ends before each of
-        ``ends``, and the range of its suffixes, by backward search."""
-        low = np.zeros(len(ends), dtype=np.int64)
-        high = np.full(len(ends), len(self.order), dtype=np.int64)
-        length = np.zeros(len(ends), dtype=np.int64)
-        alive = np.arange(len(ends))
+        ``ends``, and the range of its suffixes, by backward search.
+
+        Once a range is down to one suffix, what may follow is read from the text before it.
+        """
+        last = symbols[ends - 1]
+        low, high = self.below[last], self.below[last + 1]
+        length = (high > low).astype(np.int64)
+        low[length == 0], high[length == 0] = 0, len(self.order)
+        alive, at = np.flatnonzero(length), np.zeros(len(ends), dtype=np.int64)
+        lone = np.zeros(0, dtype=np.int64)
         for back in range(1, WINDOW + 1):
-            symbol = symbols[ends[alive] - back]
-            lo = self.shift[symbol] + self.tree.descend(symbol, low[alive])
-            hi = self.shift[symbol] + self.tree.descend(symbol, high[alive])
-            fit = hi > lo
-            alive, lo, hi = alive[fit], lo[fit], hi[fit]
-            low[alive], high[alive], length[alive] = lo, hi, back
+            if back > 1:
+                same = self.text[at[lone] - 1] == symbols[ends[lone] - back]
+                lone = lone[same]
+                at[lone] -= 1
+                length[lone] = back
+                # Equal patterns have one range and go on once.
+                known = len(self.shift)
+                pairs, which = np.unique(
+                    low[alive] * known + symbols[ends[alive] - back], return_inverse=True
+                )
+                rows = np.stack([pairs // known, np.empty_like(pairs)])
+                rows[1, which] = high[alive]
+                symbol = pairs % known
+                lo, hi = (self.shift[symbol] + self.tree.descend(symbol, rows))[:, which]
+                fit = hi > lo
+                alive, lo, hi = alive[fit], lo[fit], hi[fit]
+                low[alive], high[alive], length[alive] = lo, hi, back
+            one = high[alive] - low[alive] == 1
+            at[alive[one]] = self.order[low[alive[one]]]
+            lone, alive = np.concatenate([lone, alive[one]]), alive[~one]
+        single = np.flatnonzero(high - low == 1)
+        low[single] = self.row[at[single]]
+        high[single] = low[single] + 1
         return length, low, high
 
 
-def _search(names, docs, contents) -> pa.RecordBatch:
+def _search(names, docs, contents: pa.Array) -> pa.RecordBatch:
     """For each distinct segment, the least document of each of its windows."""
-    column = pa.array(contents, pa.large_binary()).cast(pa.large_string(), safe=False)
-    hashes = [words.hashes for words in words_of(column)]
+    column = contents.cast(pa.large_binary()).cast(pa.large_string(), safe=False)
+    parts = [(words.hashes, words.counts) for words in words_of(column, limit=CHUNK_BYTES)]
+    hashes, counts = zip(*parts, strict=True)
     symbols = np.unique(np.concatenate(hashes), return_inverse=True)[1].astype(np.int64) + 1
-    sizes = np.zeros(len(names), dtype=np.int64)
-    row = 0
-    for words in words_of(column):
-        sizes[row : row + words.texts] = words.counts
-        row += words.texts
+    sizes = np.concatenate(counts)
     # One 0 after each segment keeps matches from running across.
     owner = np.repeat(np.arange(len(names)), sizes)
     text = np.zeros(len(symbols) + len(names), dtype=np.int64)
@@ -286,19 +340,20 @@ def _match(tables: list[pa.Table]) -> Iterator[pa.RecordBatch]:
     name, doc = (table.column(c).to_numpy() for c in ("name", "doc_id"))
     order = np.lexsort((doc, name))
     lead = order[np.concatenate(([True], name[order][1:] != name[order][:-1]))]
-    contents = table.column("words").take(pa.array(lead)).to_pylist()
     # Whole groups only, so a large table is searched in pieces of its anchors.
-    anchor = table.column("anchor").to_numpy()[lead]
-    n = table.column("n").to_numpy()[lead] + WINDOW
-    by_anchor = np.argsort(anchor, kind="stable")
-    total, piece = 0, []
-    for i, j in enumerate(by_anchor):
-        piece.append(j)
-        total += int(n[j])
-        final = i + 1 == len(by_anchor)
-        if final or (total >= INDEX_WORDS and anchor[by_anchor[i + 1]] != anchor[j]):
-            yield _search(name[lead][piece], doc[lead][piece], [contents[x] for x in piece])
-            total, piece = 0, []
+    lead = lead[np.argsort(table.column("anchor").to_numpy()[lead], kind="stable")]
+    bounds = group_bounds(table.column("anchor").to_numpy()[lead])
+    sizes = table.column("n").to_numpy()[lead].astype(np.int64) + WINDOW
+    total = np.concatenate(([0], np.cumsum(sizes)))[bounds]
+    contents = table.column("words")
+    start = 0
+    while start < len(bounds) - 1:
+        end = int(np.searchsorted(total, total[start] + INDEX_WORDS))
+        end = min(max(end, start + 1), len(bounds) - 1)
+        piece = lead[bounds[start] : bounds[end]]
+        words = contents.take(pa.array(piece)).combine_chunks()
+        yield _search(name[piece], doc[piece], words)
+        start = end
 
 
 def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -306,7 +361,7 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = batch.column("doc_id")
         lists = batch.column("starts")
-        for words in words_of(batch.column("text")):
+        for words in words_of(batch.column("text"), limit=CHUNK_BYTES):
             part = lists.slice(words.first, words.texts)
             lengths = part.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
             starts = part.flatten().to_numpy() + np.repeat(words.of[:-1], lengths)
@@ -314,19 +369,18 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             np.add.at(change, starts, 1)
             np.add.at(change, starts + WINDOW, -1)
             gone = np.cumsum(change)[: len(words.starts)] > 0
-            removed, texts = [], []
-            data = words.data.tobytes()
-            for a, b in zip(words.of[:-1], words.of[1:], strict=True):
-                keep = np.flatnonzero(~gone[a:b]) + a
-                removed.append(int(b - a) - len(keep))
-                spans = zip(words.starts[keep].tolist(), words.ends[keep].tolist(), strict=True)
-                texts.append(b" ".join([data[s:e] for s, e in spans]))
+            kept = np.flatnonzero(~gone)
+            data, at = words.spaced(kept)
+            of = np.searchsorted(kept, words.of)
+            # Without the space after a text's last word.
+            bounds = zip(at[of[:-1]].tolist(), at[of[1:]].tolist(), strict=True)
+            digests = [hashlib.sha256(data[a : max(a, b - 1)]).hexdigest() for a, b in bounds]
             yield pa.record_batch(
                 [
                     ids.slice(words.first, words.texts),
                     pa.array(words.counts, pa.int64()),
-                    pa.array(removed, pa.int64()),
-                    pa.array([hashlib.sha256(text).hexdigest() for text in texts]),
+                    pa.array(words.counts - np.diff(of), pa.int64()),
+                    pa.array(digests, pa.string()),
                 ],
                 names=["doc_id", "n_words", "n_removed", "kept_sha256"],
             )

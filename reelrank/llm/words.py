@@ -122,8 +122,20 @@ class Words:
         """For each word, the number of its text."""
         return np.repeat(np.arange(self.texts), self.counts)
 
-    def word(self, i: int) -> bytes:
-        return self.data[self.starts[i] : self.ends[i]].tobytes()
+    def spaced(self, keep: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """The words numbered ``keep``, ascending, each with one space after it, and the
+        places where they begin there, with the end of all."""
+        starts, ends = self.starts[keep], self.ends[keep]
+        places = np.concatenate(([0], np.cumsum(ends - starts + 1)))
+        edge = np.zeros(len(self.data) + 1, dtype=np.int8)
+        edge[starts] = 1
+        edge[ends] -= 1
+        solid = np.cumsum(edge[:-1], dtype=np.int8).view(bool)
+        out = np.full(places[-1], 32, dtype=np.uint8)
+        inside = np.ones(places[-1], dtype=bool)
+        inside[places[1:] - 1] = False
+        out[inside] = self.data[solid]
+        return out.tobytes(), places
 
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -144,10 +156,12 @@ def chunks(bounds: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int,
         row = end
 
 
-def words_of(column: pa.Array, lower: bool = False) -> Iterator[Words]:
+def words_of(
+    column: pa.Array, lower: bool = False, limit: int = CHUNK_BYTES
+) -> Iterator[Words]:
     """The words of a string column, chunk by chunk, A-Z lowered if asked."""
     data, bounds = text_buffer(column)
-    for row, end in chunks(bounds):
+    for row, end in chunks(bounds, limit):
         cuts = bounds[row : end + 1] - bounds[row]
         part = data[bounds[row] : bounds[end]]
         part = _LOWER[part] if lower else part
